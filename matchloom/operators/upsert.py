@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchloom.operators.keys import latest_by_key
+
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace the rows whose key is in the source, add the others."""
@@ -19,6 +21,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
+def upsert_newest(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Upsert in which the later extraction wins, whichever side it is on.
+
+    For inputs that may arrive out of order: the result does not depend on it.
+    """
+    return latest_by_key(target.unionByName(source.select(*target.columns)), keys)
+
+
 def upsert_columns(
     target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

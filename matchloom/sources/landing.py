@@ -48,9 +48,9 @@ def read_day(
         return spark.createDataFrame([], schema)
 
 
-def read_roster(spark: SparkSession, path: str) -> DataFrame:
+def read_roster(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The tracked players: JSON records ``{team, role, game_name, tag_line}``."""
-    return spark.read.schema(ROSTER).option("multiLine", True).json(path)
+    return spark.read.schema(ROSTER).option("multiLine", multi_line).json(path)
 
 
 def with_ingest_date(df: DataFrame, date: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.operators.upsert import replace_group, upsert
+from matchloom.operators.upsert import replace_group, upsert, upsert_newest
 from matchloom.schemas import TableContract
 from matchloom.session import stage
 
@@ -73,13 +73,15 @@ def write_upsert(
     root: str,
     buckets: int = BUCKETS,
     group: tuple[str, ...] | None = None,
+    newest_wins: bool = False,
 ) -> None:
     """Upsert ``source``, one row per key, into the stored table.
 
     Buckets that hold a key of the source are rewritten from a staged copy;
     all other source rows are appended. A repeated run finds its own keys and
     rewrites them with the same values. With ``group`` whole groups (a prefix
-    of the key) are replaced instead of single keys.
+    of the key) are replaced instead of single keys. With ``newest_wins`` a
+    stored row with a later extraction date is kept.
     """
     spark = source.sparkSession
     path = table_path(root, contract)
@@ -97,6 +99,7 @@ def write_upsert(
     in_touched = F.col("bucket").isin(*touched) if touched else F.lit(False)
     if touched:
         target, update = stored.filter(in_touched), rows.filter(in_touched)
-        merged = replace_group(target, update, on) if group else upsert(target, update, on)
+        merge = replace_group if group else upsert_newest if newest_wins else upsert
+        merged = merge(target, update, on)
         _write(stage(merged, f"{contract.name}-merged"), path, "overwrite")
     _write(rows.filter(~in_touched), path, "append")

@@ -13,12 +13,17 @@ from matchloom.sources.tables import BUCKETS, write_upsert
 
 
 def stream_documents(
-    spark: SparkSession, base: str, entity: str, whole_file: bool = True, max_files: int | None = None
+    spark: SparkSession,
+    base: str,
+    entity: str,
+    whole_file: bool = True,
+    max_files: int | None = None,
+    glob: str = "*.json",
 ) -> DataFrame:
     """The landing area as a stream of ``(raw_json, extraction_date)``."""
     reader = (
         spark.readStream.format("text").schema("value STRING, dt DATE")
-        .option("wholetext", whole_file).option("pathGlobFilter", "*.json")
+        .option("wholetext", whole_file).option("pathGlobFilter", glob)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -45,11 +50,11 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert the rows ``build`` derives from each micro-batch.
 
-    ``build`` leaves one row per key. A batch that is retried upserts the same
-    rows again, so the table ends up the same.
+    ``build`` leaves one row per key. The later extraction wins, so neither the
+    order of the batches nor a retried batch changes the table.
     """
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        write_upsert(build(batch), contract, root, buckets)
+        write_upsert(build(batch), contract, root, buckets, newest_wins=True)
 
     return (
         documents.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

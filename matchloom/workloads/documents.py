@@ -18,7 +18,7 @@ EPOCH_MS = 1_704_067_200_000
 
 MATCH_COLUMNS = {
     "match_id": "concat('M', o_orderkey)",
-    "extraction_date": "CAST(l_shipdate AS DATE)",
+    "extraction_date": "CAST(date_trunc('month', l_shipdate) AS DATE)",
     "duration": "CAST(floor(o_totalprice * 0.006) AS INT)",
     "version": "o_orderpriority",
     "queue": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 420 ELSE 440 END",
