@@ -23,10 +23,11 @@ def read_documents(
     the layout to prefer at scale. A given ``date`` prunes the other days.
     """
     rows = (
-        spark.read.schema("value STRING, dt DATE")
+        spark.read.format("text")
+        .schema("value STRING, dt DATE")
         .option("wholetext", whole_file)
         .option("pathGlobFilter", "*.json")
-        .text(_partition(base, entity))
+        .load(_partition(base, entity))
     )
     if date is not None:
         rows = rows.filter(F.col("dt") == F.lit(date).cast("date"))

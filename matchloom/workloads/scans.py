@@ -33,16 +33,18 @@ def whole_files(spark, sf):
     base = shared_dir(spark, "landing")
     suppliers = Layers(spark, sf).table("supplier")
     files = suppliers.select(
+        # Pretty-printed, so that a document spans lines and only a whole-file read gets it back.
         F.to_json(
-            F.struct(F.concat(F.lit("S"), "s_suppkey").alias("puuid"), F.col("s_name").alias("gameName"))
+            F.struct(F.concat(F.lit("S"), "s_suppkey").alias("puuid"), F.col("s_name").alias("gameName")),
+            {"pretty": "true"},
         ).alias("value"),
         F.lit("2001-01-01").alias("dt"),
         F.col("s_suppkey").alias("account"),
     )
     files.write.partitionBy("dt", "account").option("compression", "none").text(f"{base}/text")
     rows = (
-        spark.read.schema("value STRING, dt DATE, account BIGINT").option("wholetext", True)
-        .text(f"{base}/text")
+        spark.read.format("text").schema("value STRING, dt DATE, account BIGINT")
+        .option("wholetext", True).load(f"{base}/text")
     )
     return rows.select(
         F.get_json_object("value", "$.puuid").alias("puuid"),
