@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from matchloom.operators.joins import conflicts, orphans
 
-REPORT = "table_name STRING, rule STRING, violations BIGINT"
-
 
 class ContractViolation(AssertionError):
     """Raised under the fail-fast policy; the message lists the broken rules."""
@@ -105,62 +103,64 @@ def not_in(column: str, values: Sequence) -> Column:
     return ~F.col(column).isin(*values)
 
 
+def _groups(df: DataFrame, rules: Sequence[GroupRule]) -> DataFrame:
+    """All cardinality rules on the same keys, from one count per group."""
+    per_key = df.groupBy(*rules[0].keys).agg(F.count("*").alias("n"))
+    return _unpivot(per_key, [(rule.name, F.count_if(F.expr(rule.bad))) for rule in rules])
+
+
+def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
+    """One row (rule, violations) per aggregate."""
+    wide = df.agg(*[count.alias(f"r{i}") for i, (_, count) in enumerate(counts)])
+    entries = [
+        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").cast("bigint").alias("violations"))
+        for i, (name, _) in enumerate(counts)
+    ]
+    return wide.select(F.inline(F.array(*entries)))
+
+
 def _one(df: DataFrame, rule: Rule) -> DataFrame:
     if isinstance(rule, UniqueRule):
         per_key = df.groupBy(*rule.keys).agg(F.count("*").alias("n"))
-        found = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
-    elif isinstance(rule, GroupRule):
-        per_key = df.groupBy(*rule.keys).agg(F.count("*").alias("n"))
-        found = per_key.agg(F.count_if(F.expr(rule.bad)).alias("violations"))
+        violations = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
     elif isinstance(rule, FrameDensityRule):
         per_key = df.groupBy(*rule.keys).agg(
             F.count("*").alias("n"), F.min(rule.index).alias("low"), F.max(rule.index).alias("high")
         )
-        gap = (F.col("low") != 1) | (F.col("high") != F.col("n"))
-        found = per_key.agg(F.count_if(gap).alias("violations"))
+        violations = F.count_if((F.col("low") != 1) | (F.col("high") != F.col("n")))
     elif isinstance(rule, DistinctPerGroupRule):
         pairs = df.select(*rule.keys, rule.value).distinct()
         per_key = pairs.groupBy(*rule.keys).agg(F.count(rule.value).alias("n"))
-        found = per_key.agg(F.count_if(F.expr(rule.bad)).alias("violations"))
+        violations = F.count_if(F.expr(rule.bad))
     elif isinstance(rule, ForeignKeyRule):
-        found = orphans(df, rule.parent, rule.keys).agg(F.count("*").alias("violations"))
+        per_key, violations = orphans(df, rule.parent, rule.keys), F.count("*")
     elif isinstance(rule, ConflictRule):
-        found = conflicts(df, rule.other, rule.keys, rule.bad).agg(F.count("*").alias("violations"))
+        per_key, violations = conflicts(df, rule.other, rule.keys, rule.bad), F.count("*")
     else:
         raise TypeError(f"unknown rule {rule!r}")
-    return found.select(F.lit(rule.name).alias("rule"), "violations")
+    return _unpivot(per_key, [(rule.name, violations)])
 
 
 def check(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Report ``(table_name, rule, violations)``.
 
-    All row-level rules of the table share one scan; the others are one
-    key-only aggregation each.
+    All row-level rules of the table share one scan, and cardinality rules on
+    the same keys one aggregation; the others are one key-only pass each.
     """
-    def in_pass(rule: Rule) -> bool:
-        return isinstance(rule, (RowRule, NotEmptyRule))
-
-    parts = [_one(df, rule) for rule in rules if not in_pass(rule)]
-    fused = [rule for rule in rules if in_pass(rule)]
+    fused, grouped, parts = [], {}, []
+    for rule in rules:
+        if isinstance(rule, RowRule):
+            fused.append((rule.name, F.count_if(rule.bad)))
+        elif isinstance(rule, NotEmptyRule):
+            fused.append((rule.name, F.when(F.count("*") == 0, 1).otherwise(0)))
+        elif isinstance(rule, GroupRule):
+            grouped.setdefault(rule.keys, []).append(rule)
+        else:
+            parts.append(_one(df, rule))
     if fused:
-        counts = df.agg(
-            *[
-                (
-                    F.count_if(rule.bad) if isinstance(rule, RowRule)
-                    else F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint")
-                ).alias(f"r{i}")
-                for i, rule in enumerate(fused)
-            ]
-        )
-        entries = [
-            F.struct(F.lit(rule.name).alias("rule"), F.col(f"r{i}").alias("violations"))
-            for i, rule in enumerate(fused)
-        ]
-        parts.insert(0, counts.select(F.inline(F.array(*entries))))
-    report = reduce(DataFrame.unionByName, parts)
-    return report.select(
-        F.lit(table).alias("table_name"), "rule", F.col("violations").cast("bigint").alias("violations")
-    )
+        parts.insert(0, _unpivot(df, fused))
+    parts += [_groups(df, same_keys) for same_keys in grouped.values()]
+    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
 def combine(reports: Sequence[DataFrame]) -> DataFrame:

@@ -23,12 +23,12 @@ def champion_pool(performance: DataFrame) -> DataFrame:
     )
 
 
-def form_trend(performance: DataFrame, team_stats: DataFrame, games: int = FORM_GAMES) -> DataFrame:
+def form_trend(performance: DataFrame, matches: DataFrame, games: int = FORM_GAMES) -> DataFrame:
     """Mean KDA of each player's last games, as of every game.
 
-    Takes stored tables: the performance table is read twice.
+    Takes stored tables: both are read twice.
     """
-    started = team_stats.groupBy("match_id").agg(F.max("game_creation").alias("game_creation"))
+    started = matches.select("match_id", "game_creation")
     rows = performance.select("match_id", "puuid", "kda").join(started, "match_id")
     numbered = running_index(
         rows, ["puuid"], ["game_creation", "match_id"],

@@ -77,8 +77,8 @@ def write_upsert(
 ) -> None:
     """Upsert ``source``, one row per key, into the stored table.
 
-    Buckets that hold a key of the source are rewritten from a staged copy;
-    all other source rows are appended. A repeated run finds its own keys and
+    Only buckets the source falls into are read. Those that hold a key of the
+    source are rewritten; all other source rows are appended. A repeated run finds its own keys and
     rewrites them with the same values. With ``group`` whole groups (a prefix
     of the key) are replaced instead of single keys. With ``newest_wins`` a
     stored row with a later extraction date is kept.
@@ -92,14 +92,21 @@ def write_upsert(
         return
 
     rows = stage(rows, contract.name)
+    stored = stored.filter(F.col("bucket").isin(*_values(rows)))
     on = list(group or contract.key)
     met = stored.join(rows.select("bucket", *on), ["bucket", *on], "left_semi")
-    # At most `buckets` small integers come back.
-    touched = [r.bucket for r in met.select("bucket").distinct().collect()]
-    in_touched = F.col("bucket").isin(*touched) if touched else F.lit(False)
+    touched = _values(met)
     if touched:
+        in_touched = F.col("bucket").isin(*touched)
         target, update = stored.filter(in_touched), rows.filter(in_touched)
         merge = replace_group if group else upsert_newest if newest_wins else upsert
-        merged = merge(target, update, on)
-        _write(stage(merged, f"{contract.name}-merged"), path, "overwrite")
-    _write(rows.filter(~in_touched), path, "append")
+        # Dynamic overwrite swaps the buckets only once all of them are written, so
+        # the job may read the buckets it replaces.
+        _write(merge(target, update, on), path, "overwrite")
+        rows = rows.filter(~in_touched)
+    _write(rows, path, "append")
+
+
+def _values(df: DataFrame) -> list[int]:
+    """The buckets that occur: at most as many small integers as there are buckets."""
+    return [r.bucket for r in df.select("bucket").distinct().collect()]

@@ -173,9 +173,7 @@ def champion_pool(spark, sf):
     over_lakehouse(
         """, games AS (
             SELECT p.match_id, p.puuid, p.kda, t.game_creation
-            FROM gold_player_performance p
-            JOIN (SELECT match_id, max(game_creation) AS game_creation FROM gold_team_stats
-                  GROUP BY match_id) t USING (match_id))
+            FROM gold_player_performance p JOIN silver_matches t USING (match_id))
         SELECT match_id, puuid, kda, game_creation,
             row_number() OVER (PARTITION BY puuid ORDER BY game_creation, match_id) AS game_number,
             CAST(sum(CAST(kda AS DECIMAL(18,6))) OVER w AS DOUBLE) / count(kda) OVER w AS form_kda
@@ -185,7 +183,7 @@ def champion_pool(spark, sf):
 )
 def form_trend(spark, sf):
     layers = Layers(spark, sf)
-    return reports.form_trend(layers.gold("player_performance"), layers.gold("team_stats"))
+    return reports.form_trend(layers.gold("player_performance"), layers.silver("matches"))
 
 
 @query(

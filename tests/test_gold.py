@@ -105,9 +105,9 @@ def test_reports(spark, make, matches, rows):
         dict(match_id=f"m{i}", game_duration_seconds=600, game_creation=dt.datetime(2026, 1, 1 + i)) for i in range(7)])
     facts = people(make, *[dict(match_id=f"m{i}", puuid="p", kda=float(i), win=i % 2 == 0) for i in range(7)])
     teams = make("match_teams", *[dict(match_id=f"m{i}", team_id=100, win=True, bans=["9"]) for i in range(7)])
-    performance, stats = g.player_performance(facts, many, accounts), g.team_stats(teams, many)
+    performance = g.player_performance(facts, many, accounts)
     assert rows(reports.champion_pool(performance)) == [("p", 1, 7, 4, 3.0)]
-    trend = reports.form_trend(performance, stats).orderBy("game_number").collect()
+    trend = reports.form_trend(performance, many).orderBy("game_number").collect()
     assert [r.form_kda for r in trend] == [0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0]
     draft = g.draft(teams, facts.filter("match_id <> 'm0'"), many)
     assert rows(reports.draft_analysis(draft)) == [(1, 6, 0, 6 / 7, 0.0), (9, 0, 7, 0.0, 1.0)]
