@@ -49,12 +49,14 @@ def first_where(array: Column | str, predicate: Callable[[Column], Column]) -> C
 
 
 def from_epoch_ms(ms: Column | str) -> Column:
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
+    """Timestamp of epoch milliseconds; NULL outside the years 1 to 9999."""
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return F.when(ms.between(-62_135_596_800_000, 253_402_300_799_999), F.timestamp_millis(ms))
 
 
 def minute_of(ms: Column | str) -> Column:
     ms = F.col(ms) if isinstance(ms, str) else ms
-    return F.floor(ms / F.lit(MS_PER_MINUTE)).cast("int")
+    return F.floor(ms / F.lit(MS_PER_MINUTE)).try_cast("int")
 
 
 def player_label(team: str = "team", game_name: str = "game_name") -> Column:

@@ -19,7 +19,7 @@ def kda(kills: ColumnOrName, deaths: ColumnOrName, assists: ColumnOrName) -> Col
 
 
 def total_cs(lane: ColumnOrName, jungle: ColumnOrName) -> Column:
-    return _col(lane) + _col(jungle)
+    return F.try_add(_col(lane), _col(jungle))
 
 
 def per_minute(amount: ColumnOrName, seconds: ColumnOrName) -> Column:

@@ -60,6 +60,7 @@ def running_index(
     order: Sequence[str | Column],
     slices: Sequence[Column],
     name: str,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3, … without putting a key into one task.
 
@@ -68,12 +69,15 @@ def running_index(
     row counts of the earlier slices, a small aggregate that is summed level by
     level, are added. The rows are shuffled once, by key *and* slice, so a task
     holds one slice of a key however many rows the key has. Keys and slices
-    must not be NULL. The input is read twice: hand in a stored table.
+    must not be NULL. The input is read twice: hand in a stored table. Where
+    ``df`` is a table that a join narrowed to some of its keys, that table may be
+    ``counted`` instead, which saves the join when counting.
     """
     levels = [f"_slice{i}" for i in range(len(slices))]
     cut = df.withColumns(dict(zip(levels, slices)))
 
-    counts = cut.groupBy(*keys, *levels).agg(F.count("*").alias("_n"))
+    counts = (df if counted is None else counted).withColumns(dict(zip(levels, slices)))
+    counts = counts.groupBy(*keys, *levels).agg(F.count("*").alias("_n"))
     for column in (*keys, *levels):
         # Stated once here, so that all levels share one scan and one shuffle.
         counts = counts.filter(F.col(column).isNotNull())

@@ -66,7 +66,7 @@ def bans(match_teams: DataFrame) -> DataFrame:
         match_teams, "bans", "draft_order", "ban", "match_id", "team_id", "extraction_date"
     )
     return placed.select(
-        "match_id", "team_id", F.expr("try_cast(ban AS INT)").alias("champion_id"),
+        "match_id", "team_id", F.col("ban").try_cast("int").alias("champion_id"),
         F.lit("ban").alias("type"), "draft_order", "extraction_date",
     ).filter(F.col("champion_id") != NO_CHAMPION)
 
@@ -112,11 +112,12 @@ def player_frames_indexed(
         .filter(F.col("participant_id").isNotNull()),
         ["match_id", "participant_id"],
     ).drop("extraction_date")
-    kept = restrict(_facts(frames, "timeline_frames", unique), valid_matches(matches), ["match_id"])
+    facts = _facts(frames, "timeline_frames", unique)
+    kept = restrict(facts, valid_matches(matches), ["match_id"])
     hour, months = F.expr(f"timestamp_ms div {HOUR_MS}"), F.expr(f"timestamp_ms div {4096 * HOUR_MS}")
     numbered = running_index(
         kept, ["match_id", "participant_id"], ["timestamp_ms"],
-        [months, hour], "frame_index",
+        [months, hour], "frame_index", counted=facts,
     )
     return GOLD["player_frames_indexed"].conform(
         enrich(numbered, people, ["match_id", "participant_id"], "left")

@@ -24,11 +24,11 @@ def champion_pool(performance: DataFrame) -> DataFrame:
 
 
 def form_trend(performance: DataFrame, matches: DataFrame, games: int = FORM_GAMES) -> DataFrame:
-    """Mean KDA of each player's last games, as of every game.
+    """Mean KDA of each player's last games, as of every game with a known start.
 
     Takes stored tables: both are read twice.
     """
-    started = matches.select("match_id", "game_creation")
+    started = matches.filter(F.col("game_creation").isNotNull()).select("match_id", "game_creation")
     rows = performance.select("match_id", "puuid", "kda").join(started, "match_id")
     numbered = running_index(
         rows, ["puuid"], ["game_creation", "match_id"],

@@ -69,7 +69,7 @@ def accounts(bronze: DataFrame) -> DataFrame:
         F.coalesce("a.tagLine", "a.tag_line_api", "a.tag_line").alias("tag_line"),
         F.col("a.team").alias("team"),
         F.col("a.role").alias("roster_role"),
-        F.col("a.summonerLevel").cast("int").alias("summoner_level"),
+        F.col("a.summonerLevel").try_cast("int").alias("summoner_level"),
         F.col("a.profileIconId").alias("profile_icon_id"),
         "extraction_date",
     )
@@ -155,7 +155,7 @@ def timeline_frames(parsed: DataFrame) -> DataFrame:
     )
     rows = entries.select(
         "match_id",
-        F.coalesce(F.expr("try_cast(participant AS INT)"), "f.participantId").alias("participant_id"),
+        F.coalesce(F.col("participant").try_cast("int"), "f.participantId").alias("participant_id"),
         "timestamp_ms",
         minute_of("timestamp_ms").alias("minute"),
         *_fields("f", "currentGold", "totalGold", "xp", "level", "minionsKilled",

@@ -27,13 +27,16 @@ def table_path(root: str, contract: TableContract) -> str:
     return f"{root.rstrip('/')}/{contract.layer}/{contract.name}"
 
 
-def create_namespace(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
-def create_table(spark: SparkSession, database: str, contract: TableContract) -> None:
-    """Create the catalog table of a contract unless it exists."""
-    create_namespace(spark, database)
+def create_table(
+    spark: SparkSession, database: str, contract: TableContract, location: str | None = None
+) -> None:
+    """Create the catalog table of a contract, and its database, unless they exist."""
+    create_namespace(spark, database, location)
     comment = contract.comment.replace("'", "''")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{contract.name} ({contract.schema.toDDL()})"

@@ -49,6 +49,27 @@ def literal(spark, sf):
     )
 
 
+@query(
+    "proj_star",
+    "SELECT * EXCLUDE (o_orderstatus), o_totalprice >= 50000 AS counts FROM orders",
+)
+@query(
+    "proj_drop",
+    "SELECT * EXCLUDE (o_orderstatus), o_totalprice >= 50000 AS counts FROM orders",
+)
+def star_and_drop(spark, sf):
+    orders = Layers(spark, sf).table("orders")
+    return orders.select("*", (F.col("o_totalprice") >= 50000).alias("counts")).drop("o_orderstatus")
+
+
+@query("fetch_scalar", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
+def scalar(spark, sf):
+    """One value of one query, used in another."""
+    orders = Layers(spark, sf).table("orders").select("o_orderkey", "o_orderdate")
+    last = a.value_range(orders, "o_orderdate").select("max_value").scalar()
+    return orders.filter(F.col("o_orderdate") == last)
+
+
 @query("flt_threshold", "SELECT o_orderkey FROM orders WHERE floor(o_totalprice * 0.006) >= 300")
 def threshold(spark, sf):
     orders = Layers(spark, sf).table("orders").select(

@@ -7,11 +7,12 @@ from pyspark.sql import types as T
 
 from matchloom.operators import upsert as u
 from matchloom.plans.ingest import fetch_outcomes, to_fetch
-from matchloom.schemas import TableContract
+from matchloom.schemas import SILVER, TableContract
 from matchloom.session import shared_dir
 from matchloom.sources import landing as l
-from matchloom.sources.tables import read_table, write_upsert
+from matchloom.sources.tables import create_table, read_table, write_upsert
 from matchloom.workloads.inputs import Layers
+from matchloom.workloads.lakehouse_sql import over_lakehouse
 from matchloom.workloads.registry import query
 
 EVENT_DAYS = "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS extraction_date FROM events"
@@ -145,6 +146,28 @@ def sink_append(spark, sf):
     return l.read_bronze(spark, path).groupBy("extraction_date").agg(F.count("*").alias("n"))
 
 
+CATALOG_SQL = over_lakehouse(
+    """SELECT match_id, team_id, win, baron_kills, array_to_string(bans, ',') AS bans, extraction_date
+       FROM silver_match_teams"""
+)
+
+
+@query("sink_create_table", CATALOG_SQL)
+@query("sink_create_ns", CATALOG_SQL)
+@query("src_table", CATALOG_SQL)
+def catalog_table(spark, sf):
+    """A catalog table created twice, filled once and read by name."""
+    location = shared_dir(spark, "database")
+    database = f"matchloom_{location.rsplit('-', 1)[1]}"
+    contract = SILVER["match_teams"]
+    for _ in range(2):
+        create_table(spark, database, contract, location)
+    rows = contract.conform(Layers(spark, sf).silver("match_teams"))
+    rows.write.insertInto(f"{database}.{contract.name}", overwrite=True)
+    stored = spark.read.table(f"{database}.{contract.name}")
+    return stored.select("match_id", "team_id", "win", "baron_kills", "bans", "extraction_date")
+
+
 # Target and source are two overlapping parts of orders: by status F, P and O, P.
 TARGET_SQL = "t AS (SELECT * FROM orders WHERE o_orderstatus <> 'O')"
 SOURCE_SQL = (

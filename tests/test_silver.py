@@ -157,3 +157,10 @@ def test_timeline_events_keep_their_place_in_the_frame(bronze, rows):
     assert rows(out, "timestamp_ms", "event_index", "minute", "type", "assisting_participant_ids") == [
         (59_000, 0, 0, "ITEM_PURCHASED", None), (59_000, 1, 0, "CHAMPION_KILL", [2, 3]),
         (60_000, 2, 1, "WARD_PLACED", None)]
+
+
+def test_absurd_numbers_give_null_instead_of_stopping_the_job(bronze):
+    docs = s.matches(parsed(bronze, (match("A", created=9 * 10**18), D1)))
+    assert docs.first().game_creation is None
+    late = timeline("A", [{"timestamp": 2**62, "participantFrames": {"1": {"xp": 1}}}])
+    assert s.timeline_frames(s.parsed_timelines(bronze((late, D1)))).first().minute is None
