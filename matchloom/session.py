@@ -23,7 +23,9 @@ def build_session(app: str = "matchloom", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    # Without it, every column expression records its Python call site when a plan is built.
+    quick = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**quick, **SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from matchloom.plans import gold as g
 from matchloom.plans import silver as s
 from matchloom.session import shared_dir
 from matchloom.workloads import documents as d
 
-_PATHS: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Layers:
@@ -30,15 +31,17 @@ class Layers:
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.conf.get("spark.app.id"), self.sf_dir, name)
-        if key in _PATHS:
+        if key in _STORED:
+            path, schema = _STORED[key]
             try:
-                return self.spark.read.parquet(_PATHS[key])
+                return self.spark.read.schema(schema).parquet(path)
             except AnalysisException:
-                del _PATHS[key]
+                del _STORED[key]
         path = shared_dir(self.spark, f"layer-{name}")
-        build().write.parquet(path)
-        _PATHS[key] = path
-        return self.spark.read.parquet(path)
+        rows = build()
+        rows.write.parquet(path)
+        _STORED[key] = path, rows.schema
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def bronze(self, entity: str) -> DataFrame:
         build = {
