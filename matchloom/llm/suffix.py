@@ -288,14 +288,15 @@ def repeated_windows(keyed: DataFrame, width: int) -> DataFrame:
         "head.*", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"), (F.col("n") > 1).alias("known")
     )
     spots = parts.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "first", "last", "at", "hot")).alias("spots"))
-    cut = keyed.select(*KEY, "data").join(spots, KEY)
+    # The texts are shuffled to their spots once, for both ways.
+    cut = stage(_cut(keyed.select(*KEY, "data").join(spots, KEY), width), "cut")
     runs = [
         shared.filter("alike").select(*KEY, "first", "last"),
         mixed.join(heads.filter("n > 1").select("anchor", "region"), ["anchor", "region"]).select(*KEY, "first", "last"),
-        _sorted_runs(cut, width),
+        _sorted_runs(cut.filter("part is null"), width),
     ]
     if not hot.isEmpty():
-        runs.append(_split_runs(cut, width))
+        runs.append(_split_runs(cut.filter("part is not null")))
     out = runs[0]
     for more in runs[1:]:
         out = out.unionByName(more)
@@ -305,24 +306,34 @@ def repeated_windows(keyed: DataFrame, width: int) -> DataFrame:
 _RUNS = "id long, print long, first int, last int"
 
 
-def _sorted_runs(cut: DataFrame, width: int) -> DataFrame:
-    """Repeats among the regions of one anchor, by suffix arrays of anchors worked together."""
+def _cut(found: DataFrame, width: int) -> DataFrame:
+    """The regions of anchors; of those with very many different regions, hashes by offset instead."""
+    names = ["anchor", *KEY, "first", "last", "bytes", "part", "core", "whole", "windows"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64(),
+             pa.list_(pa.int64())]
+
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for i, (key, mark, data, spots) in enumerate(zip(*batch.columns)):
-                data = data.as_buffer()
+                data = memoryview(data.as_buffer())
                 for s in spots.as_py():
-                    if not s["hot"]:
-                        rows.append((s["anchor"], key.as_py(), mark.as_py(), s["first"], s["last"],
-                                     data[s["first"]:s["last"] + width].to_pybytes()))
+                    head = (s["anchor"], key.as_py(), mark.as_py())
+                    if s["hot"]:
+                        rows += [(*head, first, last, None, *rest) for first, last, *rest in _offsets(data, s, width)]
+                    else:
+                        rows.append((*head, s["first"], s["last"], bytes(data[s["first"]:s["last"] + width]), None, None, None, None))
                 if rows and (len(rows) > 4000 or i + 1 == batch.num_rows):
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                     rows = []
 
-    names = ["anchor", "id", "print", "first", "last", "bytes"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return found.select(*KEY, "data", "spots").mapInArrow(
+        take, "anchor long, id long, print long, first int, last int, bytes binary, part int, core long, whole long, windows array<long>"
+    )
+
 
+def _sorted_runs(cut: DataFrame, width: int) -> DataFrame:
+    """Repeats among the regions of one anchor, by suffix arrays of anchors worked together."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, group in complete_groups(batches, ["anchor"]):
             regions = rows.column("bytes").to_pylist()
@@ -336,9 +347,7 @@ def _sorted_runs(cut: DataFrame, width: int) -> DataFrame:
                 yield from _runs(rows.slice(begin, end - begin), regions[begin:end], width)
                 begin = end
 
-    return cut.mapInArrow(
-        take, "anchor long, id long, print long, first int, last int, bytes binary"
-    ).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(find, _RUNS)
+    return cut.select("anchor", *KEY, "first", "last", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(find, _RUNS)
 
 
 def _runs(rows: pa.Table, regions: list[bytes], width: int) -> Iterator[pa.RecordBatch]:
@@ -354,33 +363,17 @@ def _runs(rows: pa.Table, regions: list[bytes], width: int) -> Iterator[pa.Recor
         )
 
 
-def _split_runs(cut: DataFrame, width: int) -> DataFrame:
+def _split_runs(rows: DataFrame) -> DataFrame:
     """The same for anchors with very many different regions, whatever their number.
 
     Windows are split by their offset from the anchor, ``RANGE`` offsets a row. The bytes that all windows of a row
     share must be found in another row, or none of the windows is repeated. Rows alike as a whole are repeats. Only
     for the rest the windows are counted one by one, by hashes. All counts combine within tasks first.
     """
-    names = ["anchor", "part", "core", "whole", *KEY, "first", "windows"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, mark, data, spots in zip(*batch.columns):
-                rows, data = [], memoryview(data.as_buffer())
-                for s in spots.as_py():
-                    if s["hot"]:
-                        rows += [(s["anchor"], *x[:3], key.as_py(), mark.as_py(), *x[3:]) for x in _offsets(data, s, width)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    rows = stage(cut.mapInArrow(
-        take, "anchor long, part int, core long, whole long, id long, print long, first int, windows array<long>"
-    ), "offsets")
     at = ["anchor", "part", "core"]
     cores = rows.groupBy(*at).agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")).filter("n > 1")
     rows = rows.join(cores.select(*at, (F.col("low") == F.col("high")).alias("alike")), at)
-    alike = rows.filter("alike").select(*KEY, "first", (F.col("first") + F.size("windows") - 1).alias("last"))
+    alike = rows.filter("alike").select(*KEY, "first", "last")
     single = rows.filter("not alike").select("anchor", *KEY, "first", F.posexplode("windows").alias("step", "window"))
     twice = single.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "window")
     place = F.col("first") + F.col("step")
@@ -398,7 +391,7 @@ def _offsets(data: memoryview, spot: dict, width: int) -> Iterator[tuple]:
         first, last = max(spot["first"], at - part * RANGE - RANGE + 1), min(spot["last"], at - part * RANGE)
         core = data[at - part * RANGE:at - part * RANGE - RANGE + 1 + width]
         yield (
-            part, signed(digest(core)), signed(digest(data[first:last + width], at - first)), first,
+            first, last, part, signed(digest(core)), signed(digest(data[first:last + width], at - first)),
             [signed(digest(data[p:p + width], at - p)) for p in range(first, last + 1)],
         )
 
