@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,9 @@ class PairTable:
 class Bpe:
     """Encoder and decoder of one rank file and one split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 200_000):
+        self.known: dict[str, np.ndarray] = {}
+        self.limit = limit
         self.pattern = regex.compile(pattern)
         self.pairs = PairTable(ranks)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
@@ -79,9 +82,12 @@ class Bpe:
             self.token[rank] = token
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; every different pre-token is merged once."""
+        """Ids of each text; every different pre-token is merged once while it is remembered."""
         split = [self.pattern.findall(x) for x in texts]
-        known = self.merge(list({w for words in split for w in words}))
+        if len(self.known) > self.limit:
+            self.known.clear()
+        known = self.known
+        known.update(self.merge(list(set(chain.from_iterable(split)).difference(known))))
         none = np.zeros(0, dtype=np.int64)
         return [np.concatenate([known[w] for w in words]) if words else none for words in split]
 
