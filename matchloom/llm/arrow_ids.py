@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchloom.llm.tokens import TextEncoder
+from matchloom.llm.tokens import text_encoder
 from matchloom.session import shared_dir, stage
 
 BATCH = 512  # sequences of a record batch
@@ -112,7 +112,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, len
     manifest. ``dtype`` must hold every id.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, writer = TextEncoder(tokenizer, keep_space=False), None
+        cache, writer = text_encoder(tokenizer, keep_space=False), None
         most, end = np.iinfo(dtype).max, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):

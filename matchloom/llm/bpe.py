@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -173,6 +174,13 @@ class Bpe:
         return np.array([x for x, a in zip(ids, alive) if a], dtype=np.int64)
 
 
+@lru_cache(maxsize=2)
+def encoder(ranks_path: str, pattern: str) -> tuple[Bpe, PieceCache]:
+    """One encoder per file and Python worker, so that its pieces are remembered from task to task."""
+    bpe = Bpe(read_ranks(ranks_path), pattern)
+    return bpe, PieceCache(bpe.encode, keep_space=True)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                      finish=None, schema: str = "doc_id long, ids array<int>, decoded binary") -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded`` (the bytes of the ids), one row per row of ``docs``.
@@ -184,8 +192,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(ranks_path), pattern)
-        cache = PieceCache(bpe.encode, keep_space=True)
+        bpe, cache = encoder(ranks_path, pattern)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchloom.llm.tokens import TextEncoder
+from matchloom.llm.tokens import text_encoder
 from matchloom.session import stage
 
 CHUNK = 100_000  # pieces of one length numbered in one task, about
@@ -25,7 +25,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     of ``capacity``; what does not divide is the first piece. NULL and empty texts are the end id alone.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end = TextEncoder(tokenizer, keep_space=True), np.array([end_id], "<u4").tobytes()
+        cache, end = text_encoder(tokenizer, keep_space=True), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             names = batch.column(0).to_pylist()
             rows = []

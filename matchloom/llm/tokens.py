@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -135,10 +136,6 @@ def _make(config: dict) -> tuple[bool, str | None]:
     return False, None
 
 
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
-
-
 class TextEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to the tokenizers library's.
 
@@ -163,6 +160,12 @@ class TextEncoder:
         ]
 
 
+@lru_cache(maxsize=4)
+def text_encoder(path: str, keep_space: bool) -> TextEncoder:
+    """One encoder per file and Python worker, so that its pieces are remembered from task to task."""
+    return TextEncoder(path, keep_space)
+
+
 def _rank_encoding(config: dict):
     """A tiktoken encoding of the same vocabulary, if ids number the merges in their order."""
     model = config["model"]
