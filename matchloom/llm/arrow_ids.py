@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from matchloom.llm.common import small_batches
 from matchloom.llm.tokens import text_encoder
 from matchloom.session import shared_dir, stage
 
@@ -129,7 +130,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, len
 
     store, path = open_folder(folder)
     store.create_dir(path, recursive=True)
-    ordered = docs.select(
+    ordered = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return stage(ordered.mapInArrow(write, "name string, first long, docs long, n_ids long"), "arrow-manifest")

@@ -14,7 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.tokens import PieceCache
+from matchloom.llm.common import small_batches
+from matchloom.llm.tokens import PieceCache, forget
 
 NONE = np.int64(1) << 40  # above every rank
 CELLS = 1_000_000  # of one matrix
@@ -72,7 +73,7 @@ class PairTable:
 class Bpe:
     """Encoder and decoder of one rank file and one split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 150_000):
         self.known: dict[str, np.ndarray] = {}
         self.limit = limit
         self.pattern = regex.compile(pattern)
@@ -86,7 +87,7 @@ class Bpe:
         """Ids of each text; every different pre-token is merged once while it is remembered."""
         split = [self.pattern.findall(x) for x in texts]
         if len(self.known) > self.limit:
-            self.known.clear()
+            forget(self.known, self.limit)
         known = self.known
         known.update(self.merge(list(set(chain.from_iterable(split)).difference(known))))
         none = np.zeros(0, dtype=np.int64)
@@ -203,6 +204,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                     rows.append(finish(ids, decoded) if finish else (ids.astype(np.int32), decoded))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows))], names)
 
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).mapInArrow(run, schema)

@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Hand Python at most 2000 rows at a time: whole texts are long, and worker memory is bounded by a batch."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return df
+
+
 def text_bytes(column: str = "text"):
     """The UTF-8 bytes of a text; NULL counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from matchloom.llm.common import small_batches
 from matchloom.llm.tokens import text_encoder
 from matchloom.session import stage
 
@@ -26,25 +27,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, end = text_encoder(tokenizer, keep_space=True), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            names = batch.column(0).to_pylist()
+        for part in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
             rows = []
-            for doc, ids in zip(names, cache.ids(batch.column(1).to_pylist())):
+            for doc, ids in zip(part.column(0).to_pylist(), cache.ids(part.column(1).to_pylist())):
                 ids = memoryview(ids + end)
                 size, start = len(ids) // 4, 0
                 stop = size % capacity or capacity
                 for piece in range(-(-size // capacity)):
-                    part = ids[4 * start:4 * stop]
-                    rows.append((doc, piece, start, stop - start, zlib.crc32(part), *([bytes(part)] * with_ids)))
+                    cut_ids = ids[4 * start:4 * stop]
+                    rows.append((doc, piece, start, stop - start, zlib.crc32(cut_ids), *([bytes(cut_ids)] * with_ids)))
                     start, stop = stop, stop + capacity
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], schema.replace(",", "").split()[::2]
-                )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)], schema.replace(",", "").split()[::2]
+            )
 
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).mapInArrow(cut, schema)
 

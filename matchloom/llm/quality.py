@@ -12,9 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 4096  # hashed word features
+from matchloom.llm.common import small_batches
+
+WORDS = 2048  # hashed word features
 RANK = 8  # of the interactions
-TRAIN_ROWS = 6000  # labelled documents to learn from, at most
+TRAIN_ROWS = 5000  # labelled documents to learn from, at most
 STATS = 16
 
 _SYMBOL = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)])
@@ -122,7 +124,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
         .orderBy(F.xxhash64(id_col), id_col).limit(rows)
     )
     # The sample is bounded by a parameter, so it may be sent to every task.
-    return docs.select(id_col, text_col, *more).join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
+    return small_batches(docs).select(id_col, text_col, *more).join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, id_col: str = "doc_id",
@@ -170,7 +172,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(found, pa.float64())], [*names, "score"])
 
     names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(text_col).alias("_text"), F.col(chars_col).cast("long").alias("_chars"), *(F.col(c).alias(n) for c, n in zip(keep, names))
     )
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes[2:])

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import blocked, close_rows, complete_groups, components, smallest_linked, text_bytes
+from matchloom.llm.common import blocked, close_rows, complete_groups, components, small_batches, smallest_linked, text_bytes
 from matchloom.session import stage
 
 BYTES = 8
@@ -67,7 +67,7 @@ def with_simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), pa.array(signed), pa.array(marks, pa.binary())], ["doc_id", "hash", "sketch"]
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
     return rows.mapInArrow(encode, "doc_id long, hash long, sketch binary")
 
 

@@ -10,11 +10,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import complete_groups, text_bytes
+from matchloom.llm.common import complete_groups, small_batches, text_bytes
 from matchloom.session import stage
 
 GRAM = 32  # bytes of an anchor
-CHUNK = 1 << 21  # bytes worked at once
+CHUNK = 1 << 20  # bytes worked at once
 PLACE = np.uint64((1 << 24) - 1)
 HOT = 4096  # different regions of one anchor above which they are split by offset
 RANGE = 16  # offsets of a split
@@ -229,7 +229,7 @@ def _pieces(texts: list[bytes], width: int) -> Iterator[tuple[bytes, list[tuple[
 def _keyed(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
     """Texts as bytes under a key that tells rows with one id but other texts apart; columns to keep as k0, k1, …"""
     data = text_bytes(text_col)
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("id"),
         F.xxhash64(F.col(id_col).isNull(), data).alias("print"), data.alias("data"),
         *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)),
@@ -238,7 +238,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> Data
 
 def _anchors(keyed: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
             ids, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             texts = [x.as_buffer().to_pybytes() for x in batch.column(2)]
             for joined, parts in _pieces(texts, width):
@@ -407,11 +407,11 @@ def merge_runs(first: np.ndarray, last: np.ndarray, width: int) -> list[tuple[in
 
 
 def remove_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """Every row of ``docs`` with its repeated bytes removed.
 
-    Returns ``doc_id``, ``n_bytes``, ``spans`` (begin, end of each maximal removed run), ``kept`` (the remaining bytes) and
-    the columns ``keep``. A byte goes if a ``width``-byte string over it also starts anywhere else, in the same document or another; all copies
+    Returns ``doc_id``, ``n_bytes``, ``spans`` (begin, end of each maximal removed run), ``kept`` (the remaining bytes; with
+    ``as_text`` a string, without characters of which a part has gone) and the columns ``keep``. A byte goes if a ``width``-byte string over it also starts anywhere else, in the same document or another; all copies
     go, and overlaps count. Strings are judged on the input.
 
     Windows are keyed by a content anchor, the least hashed gram in them, so equal windows meet under equal anchors. Anchors
@@ -429,7 +429,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", te
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
             rows = []
             for doc, data, first, last in zip(*batch.columns[:4]):
                 data = data.as_buffer().to_pybytes()
@@ -438,18 +438,19 @@ def remove_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", te
                     spans = merge_runs(np.array(first.as_py(), dtype=np.int64), np.array(last.as_py(), dtype=np.int64), width)
                 edges = [0, *(x for span in spans for x in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                kept = kept.decode("utf-8", "ignore") if as_text else kept
                 rows.append((doc.as_py(), len(data), [{"begin": a, "end": b} for a, b in spans], kept))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, k) for c, k in zip(zip(*rows), out)), *batch.columns[4:]],
-                    ["doc_id", "n_bytes", "spans", "kept", *names],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, k) for c, k in zip(zip(*rows), out)), *batch.columns[4:]],
+                ["doc_id", "n_bytes", "spans", "kept", *names],
+            )
 
-    out = [pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.binary()]
+    spans_kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    out = [pa.int64(), pa.int64(), spans_kind, pa.string() if as_text else pa.binary()]
     names = [f"k{i}" for i in range(len(keep))]
     joined = keyed.join(runs, KEY, "left").select("doc_id", "data", "first", "last", *names)
     more = "".join(f", {n} {t}" for n, t in joined.dtypes[4:])
-    done = joined.mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary" + more)
+    done = joined.mapInArrow(cut, f"doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept {'string' if as_text else 'binary'}{more}")
     return done.select("doc_id", "n_bytes", "spans", "kept", *(F.col(n).alias(c) for n, c in zip(names, keep)))
 
 

@@ -19,11 +19,11 @@ class PieceCache:
 
     ``encode`` gives the ids of texts. Its pre-tokens must never run across a single space that stands between two
     characters that are no white space; with ``keep_space`` that space belongs to the piece after it, otherwise it
-    gives no ids. A text where a piece is empty or ends in other white space goes to ``encode`` whole. The cache
-    is emptied at ``limit`` pieces, so memory stays bounded whatever the texts are.
+    gives no ids. A text where a piece is empty or ends in other white space goes to ``encode`` whole. At ``limit``
+    pieces the cache forgets all but the short ones, at twice that all, so memory stays bounded whatever the texts are.
     """
 
-    def __init__(self, encode: Encode, keep_space: bool, limit: int = 300_000):
+    def __init__(self, encode: Encode, keep_space: bool, limit: int = 150_000):
         self.encode, self.space, self.limit = encode, " " if keep_space else "", limit
         self.cache: dict[str, bytes | None] = {}
 
@@ -36,7 +36,7 @@ class PieceCache:
     def _some(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > self.limit:
-            cache.clear()
+            forget(cache, self.limit)
         split = [text.split(" ") for text in texts]
         heads = [pieces.pop(0) for pieces in split]
         new = set(chain.from_iterable(split)).difference(cache)
@@ -59,6 +59,14 @@ class PieceCache:
         return out
 
 
+def forget(cache: dict, limit: int) -> None:
+    """Keep short entries, which are the common ones, if they are less than half of what may be kept."""
+    short = {k: v for k, v in cache.items() if len(k) < 6}
+    cache.clear()
+    if 2 * len(short) < limit:
+        cache.update(short)
+
+
 def _raw(ids: np.ndarray | bytes) -> bytes:
     return ids if isinstance(ids, bytes) else np.asarray(ids, dtype="<u4").tobytes()
 
@@ -85,7 +93,7 @@ class LibraryEncoder:
     pre-token, which is remembered. All other texts, and tokenizers of another make, go through the library as a whole.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -99,7 +107,7 @@ class LibraryEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.limit:
-            known.clear()
+            forget(known, self.limit)
         find, lower = self.pattern.findall if self.pattern else None, self.lower
         split = [
             (find(x.lower() if lower else x)) if find and (x.isascii() or max(x) < STABLE) else None for x in texts

@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_ROWS = 4000  # labelled documents of each label to learn from, at most
-MOST_FEATURES = 3000
+from matchloom.llm.common import small_batches
+
+TRAIN_ROWS = 3000  # labelled documents of each label to learn from, at most
+MOST_FEATURES = 2000
 PREFIXES = (4, 5, 6)
 PENALTY = 5.0
 EDGES = ".,;:!?\"'()[]{}<>*#%&$@-_/\\|~^+=`"
@@ -77,10 +79,10 @@ class Toxicity:
         x = _presence(rows, hashes)
         pairs = [(a, b) for a, b in zip(rows, swapped) if b is not None]
         change = _presence([b for _, b in pairs], hashes) - _presence([a for a, _ in pairs], hashes)
-        weight, m, s = np.zeros(len(hashes)), np.zeros(len(hashes) + 1), np.zeros(len(hashes) + 1)
+        weight, m, s = np.zeros(len(hashes), np.float32), np.zeros(len(hashes) + 1), np.zeros(len(hashes) + 1)
         total = weights.sum()
         for step in range(1, steps + 1):
-            error = weights * (_sigmoid(bias + x @ weight) - labels) / total
+            error = (weights * (_sigmoid(bias + x @ weight) - labels) / total).astype(np.float32)
             grad = x.T @ error + 2e-4 * weight
             if len(pairs):
                 grad += penalty * 2 * (change.T @ (change @ weight)) / len(pairs)
@@ -88,7 +90,7 @@ class Toxicity:
             m = 0.9 * m + 0.1 * grad
             s = 0.999 * s + 0.001 * grad ** 2
             move = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
-            weight, bias = weight - move[:-1], bias - float(move[-1])
+            weight, bias = weight - move[:-1].astype(np.float32), bias - float(move[-1])
         return cls(hashes, weight, bias)
 
 
@@ -150,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
         known.filter("target = 0").orderBy(*order).limit(rows)
     )
     # At most twice ``rows`` ids: a bounded sample may be sent to every task.
-    sample = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
+    sample = small_batches(docs).select(id_col, text_col).join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
     got = sample.select("target", text_col).mapInArrow(
         run, "target int, found array<long>, swapped array<long>"
     ).toArrow()
@@ -181,7 +183,7 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, pa.float64())], [*names, "score"])
 
     names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(F.col(text_col).alias("_text"), *(F.col(c).alias(n) for c, n in zip(keep, names)))
+    rows = small_batches(docs).select(F.col(text_col).alias("_text"), *(F.col(c).alias(n) for c, n in zip(keep, names)))
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes[1:])
     scored = rows.mapInArrow(run, f"{kinds}, score double")
     return scored.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "score")

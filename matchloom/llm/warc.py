@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.arrow_ids import open_folder
-from matchloom.llm.common import text_bytes
+from matchloom.llm.common import small_batches, text_bytes
 from matchloom.session import shared_dir, stage
 
 # Fixed values of the WARC and Zstandard formats.
@@ -105,7 +105,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
     writes a new file, and only the file of the attempt that ended is named in the result.
     """
     payload = text_bytes(html_col)
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"),
         F.sha1(payload).alias("sha1"),
     )
