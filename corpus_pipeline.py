@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,16 +48,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur twice go, at every place; a character cut in half goes whole."""
-    removed = suffix.remove_repeats(docs, REPEAT_BYTES, keep=["lang", "source"])
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pa.array([x.as_py().decode("utf-8", "ignore") for x in batch.column(1)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts, *batch.columns[2:]], COLUMNS[:4])
-
-    return removed.select("doc_id", "kept", "lang", "source").mapInArrow(
-        whole, "doc_id long, text string, lang string, source string"
-    ).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    removed = suffix.remove_repeats(docs, REPEAT_BYTES, keep=["lang", "source"], as_text=True)
+    return removed.select(
+        "doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("long").alias("n_chars")
+    )
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
