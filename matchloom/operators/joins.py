@@ -15,15 +15,6 @@ from pyspark.sql import functions as F
 from matchloom.schemas import MIN_GAME_SECONDS
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side for broadcasting if it is shown to have at most ``max_rows`` rows.
-
-    Meant for stored lookups, where the probe reads little; a larger side is
-    returned as it is and joins by shuffle.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def valid_matches(matches: DataFrame, *columns: str) -> DataFrame:
     """Matches long enough to count; an unknown duration does not."""
     kept = matches.filter(F.col("game_duration_seconds") >= MIN_GAME_SECONDS)

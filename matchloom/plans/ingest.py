@@ -42,14 +42,14 @@ def unique_match_ids(lists: DataFrame) -> DataFrame:
     return lists.select("match_id").distinct().orderBy("match_id")
 
 
-def player_match_map(latest: DataFrame, player: Column | None = None, n: int = MATCHES_PER_PLAYER) -> DataFrame:
-    """Player → ids, most recent first.
+def player_match_map(latest: DataFrame, player: Column | None = None, key: str = "puuid") -> DataFrame:
+    """Player → ids, most recent first, all that ``latest`` holds.
 
-    Takes the result of ``latest_matches``, whose ``place`` is at most ``n``,
-    so no list is longer than that.
+    Takes the result of ``latest_matches``, which bounds how many a player has. Players are told apart by ``key``
+    and shown by their label, which two of them may share.
     """
     label = player_label() if player is None else player
-    ranked = latest.filter(F.col("place") <= n).groupBy(label.alias("player")).agg(
+    ranked = latest.groupBy(F.col(key), label.alias("player")).agg(
         F.sort_array(F.collect_list(F.struct("place", "match_id"))).alias("ranked")
     )
     return ranked.select("player", F.col("ranked.match_id").alias("match_ids"))

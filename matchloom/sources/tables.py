@@ -2,7 +2,8 @@
 
 A table is a Parquet directory partitioned by ``bucket``, a stable hash of the
 first key column. A row's bucket never changes, so an upsert touches only the
-buckets its source falls into.
+buckets its source falls into. The number of buckets is stored beside the table
+when it is created, and no later write may use another.
 """
 
 from __future__ import annotations
@@ -27,6 +28,35 @@ def table_path(root: str, contract: TableContract) -> str:
     return f"{root.rstrip('/')}/{contract.layer}/{contract.name}"
 
 
+def layout_path(root: str, contract: TableContract) -> str:
+    return f"{root.rstrip('/')}/{contract.layer}/_layout/{contract.name}"
+
+
+def bucket_count(spark: SparkSession, root: str, contract: TableContract, wanted: int | None = None) -> int:
+    """The bucket count of a stored table, or of a new one, which is written down.
+
+    Raises if another count is ``wanted``: keys would be looked for in the wrong buckets.
+    """
+    path = layout_path(root, contract)
+    try:
+        known = spark.read.schema("buckets int").json(path).head()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    if known is None:
+        stored = _stored(spark, root, contract)  # a table from before the count was written down
+        other = F.col("bucket") != bucket_of(contract, wanted or BUCKETS)
+        if stored is not None and not stored.filter(other).isEmpty():
+            raise ValueError(f"{contract.name} is not stored in {wanted or BUCKETS} buckets")
+        known = spark.createDataFrame([(wanted or BUCKETS,)], "buckets int")
+        known.coalesce(1).write.mode("overwrite").json(path)
+        return wanted or BUCKETS
+    if wanted not in (None, known.buckets):
+        raise ValueError(f"{contract.name} is stored in {known.buckets} buckets, not {wanted}")
+    return known.buckets
+
+
 def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
@@ -74,7 +104,7 @@ def write_upsert(
     source: DataFrame,
     contract: TableContract,
     root: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     group: tuple[str, ...] | None = None,
     newest_wins: bool = False,
 ) -> None:
@@ -88,6 +118,7 @@ def write_upsert(
     """
     spark = source.sparkSession
     path = table_path(root, contract)
+    buckets = bucket_count(spark, root, contract, buckets)
     rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
     stored = _stored(spark, root, contract)
     if stored is None:
@@ -110,6 +141,42 @@ def write_upsert(
     _write(rows, path, "append")
 
 
+def write_all(source: DataFrame, contract: TableContract, root: str, buckets: int | None = None) -> None:
+    """Replace the whole stored table, which ``source`` must not be read from."""
+    buckets = bucket_count(source.sparkSession, root, contract, buckets)
+    rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
+    (
+        rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("bucket").parquet(table_path(root, contract))
+    )
+
+
+def write_replace(
+    source: DataFrame, scope: DataFrame, contract: TableContract, root: str, buckets: int | None = None
+) -> None:
+    """Replace the rows of all keys in ``scope`` by those of ``source``.
+
+    ``scope`` has the first key column. Its keys lose their stored rows even where ``source`` has none for them;
+    ``source`` has rows of these keys only. Buckets without such a key are not read.
+    """
+    spark, first = source.sparkSession, contract.key[0]
+    buckets = bucket_count(spark, root, contract, buckets)
+    if _stored(spark, root, contract) is None:
+        write_upsert(source, contract, root, buckets)
+        return
+    scope = stage(scope.select(first).distinct().withColumn("bucket", bucket_of(contract, buckets)), "scope")
+    rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
+    touched = _values(scope)
+    stored = _stored(spark, root, contract).filter(F.col("bucket").isin(*touched))
+    kept = stored.join(scope, ["bucket", first], "left_anti").select(*rows.columns)
+    result = stage(kept.unionByName(rows), contract.name)
+    _write(result, table_path(root, contract), "overwrite")
+    emptied = set(touched) - set(_values(result))
+    for bucket in emptied:  # an overwrite by partition leaves those without a row as they were
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path(root, contract)}/bucket={bucket}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _values(df: DataFrame) -> list[int]:
     """The buckets that occur: at most as many small integers as there are buckets."""
     return [r.bucket for r in df.select("bucket").distinct().collect()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchloom.schemas import TableContract
-from matchloom.sources.tables import BUCKETS, write_upsert
+from matchloom.sources.tables import write_upsert
 
 
 def stream_documents(
@@ -46,7 +46,7 @@ def upsert_stream(
     contract: TableContract,
     root: str,
     checkpoint: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Upsert the rows ``build`` derives from each micro-batch.
 

@@ -93,11 +93,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores of a local session, whose test tables come as one file each."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.master").startswith("local"):
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    """Use all cores: the test tables come as one file each."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _struct(fields: dict[str, str]):

@@ -179,12 +179,11 @@ def total_cs(spark, sf):
 
 @query(
     "fn_rate_per_minute",
-    """SELECT o_orderkey, o_totalprice / (o_custkey / CAST(60 AS DOUBLE)) AS per_minute
-       FROM orders WHERE o_custkey > 0""",
+    """SELECT o_orderkey, o_totalprice / ((o_custkey + 1) / CAST(60 AS DOUBLE)) AS per_minute FROM orders""",
 )
 def rate_per_minute(spark, sf):
-    orders = Layers(spark, sf).table("orders").filter("o_custkey > 0")
-    return orders.select("o_orderkey", m.per_minute("o_totalprice", "o_custkey").alias("per_minute"))
+    orders = Layers(spark, sf).table("orders").withColumn("seconds", F.col("o_custkey") + 1)
+    return orders.select("o_orderkey", m.per_minute("o_totalprice", "seconds").alias("per_minute"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from matchloom.schemas import SILVER
 from matchloom.workloads.documents import (
     BANS_100, BANS_200, EPOCH_MS, EVENT_FIELDS, FRAME_FIELDS, FRAME_IDS, MATCH_COLUMNS, PLAYER_100,
@@ -163,9 +165,16 @@ CTES = {
         LEFT JOIN frame_people p ON f.match_id = p.match_id AND f.participant_id = p.participant_id""",
 }
 
-PRELUDE = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in CTES.items()) + "\n"
+def _named(sql: str) -> set[str]:
+    return set(re.findall(r"\w+", sql)) & CTES.keys()
 
 
 def over_lakehouse(sql: str) -> str:
-    """SQL that may name any of the tables above."""
-    return PRELUDE + sql
+    """SQL that may name any of the tables above, with those it reaches."""
+    reached, found = set(), _named(sql)
+    while found:
+        reached |= found
+        found = set().union(*(_named(CTES[name]) for name in found)) - reached
+    # In the order above, in which each only names those before it.
+    tables = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items() if name in reached)
+    return f"WITH {tables}\n{sql}" if tables else sql

@@ -358,6 +358,11 @@ def new_per_player(spark, sf):
     return new_ids_per_player(j.enrich(lists, suppliers, ["s_suppkey"]), "s_suppkey", "player")
 
 
+@query("proj_narrow", "SELECT l_orderkey, l_suppkey, l_quantity FROM lineitem")
+def narrow(spark, sf):
+    return Layers(spark, sf).table("lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+
+
 # --- windows -----------------------------------------------------------------
 
 LATEST_LINE = """SELECT l_orderkey, {key}, l_shipdate, l_partkey, l_suppkey FROM lineitem

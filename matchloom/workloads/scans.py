@@ -115,6 +115,35 @@ def sql_with_views(spark, sf):
     )
 
 
+@query(
+    "src_temp_view",
+    "SELECT o_orderpriority, count(*) AS n, min(o_orderdate) AS first_date FROM orders GROUP BY o_orderpriority",
+)
+def temp_view(spark, sf):
+    """A registered view, queried by name."""
+    Layers(spark, sf).table("orders").createOrReplaceTempView("matchloom_order_view")
+    return spark.sql(
+        "SELECT o_orderpriority, count(*) AS n, min(o_orderdate) AS first_date FROM matchloom_order_view GROUP BY o_orderpriority"
+    )
+
+
+@query(
+    "limit_probe",
+    """SELECT name, n > 0 AS has_rows FROM (
+           SELECT 'late_lines' AS name, count(*) AS n FROM (SELECT 1 FROM lineitem WHERE l_shipdate >= DATE '1995-01-01' LIMIT 1)
+           UNION ALL SELECT 'unknown_parts', count(*) FROM (SELECT 1 FROM lineitem WHERE l_partkey < 0 LIMIT 1))""",
+)
+def limit_probe(spark, sf):
+    """Whether any row meets a condition; one row per probe is enough to know."""
+    lines = Layers(spark, sf).table("lineitem")
+    probes = {"late_lines": "l_shipdate >= DATE '1995-01-01'", "unknown_parts": "l_partkey < 0"}
+    found = None
+    for name, condition in probes.items():
+        one = lines.filter(condition).limit(1).agg((F.count("*") > 0).alias("has_rows")).select(F.lit(name).alias("name"), "has_rows")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query(
     "doc_metadata",
     """SELECT event_id, '2026-03-26' AS execution_date, 'events_api' AS source, TRUE AS is_stamped

@@ -139,12 +139,24 @@ def latest_n(spark, sf):
 @query(
     "tbl_match_id_collect",
     PLAYED_SQL
-    + "SELECT player, string_agg(match_id, ',' ORDER BY place) AS match_ids FROM latest GROUP BY player",
+    + """SELECT 'player' AS part, player AS name, string_agg(match_id, ',' ORDER BY place) AS match_ids
+         FROM latest GROUP BY puuid, player
+         UNION ALL SELECT DISTINCT 'id', match_id, NULL FROM latest""",
 )
+def match_id_collect(spark, sf):
+    """Both results of a collection: each player's ids, and the unique ids over all players."""
+    latest = ingest.latest_matches(played(spark, sf))
+    players = ingest.player_match_map(latest, player_label()).select(F.lit("player").alias("part"), F.col("player").alias("name"), "match_ids")
+    ids = ingest.unique_match_ids(latest)
+    return players.unionByName(
+        ids.select(F.lit("id").alias("part"), F.col("match_id").alias("name"), F.lit(None).cast("array<string>").alias("match_ids"))
+    )
+
+
 @query(
     "agg_player_map",
     PLAYED_SQL
-    + "SELECT player, string_agg(match_id, ',' ORDER BY place) AS match_ids FROM latest GROUP BY player",
+    + "SELECT player, string_agg(match_id, ',' ORDER BY place) AS match_ids FROM latest GROUP BY puuid, player",
 )
 def player_map(spark, sf):
     return ingest.player_match_map(ingest.latest_matches(played(spark, sf)), player_label())

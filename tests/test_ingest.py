@@ -26,11 +26,17 @@ def test_ids_are_unique_over_players_and_sorted(spark):
 
 
 def test_player_map_is_most_recent_first(spark, rows):
-    latest = spark.createDataFrame([("T", "a", "M1", 2), ("T", "a", "M9", 1), ("T", "b", "M1", 1)],
-                                   "team string, game_name string, match_id string, place int")
+    latest = spark.createDataFrame([("1", "T", "a", "M1", 2), ("1", "T", "a", "M9", 1), ("2", "T", "b", "M1", 1)],
+                                   "puuid string, team string, game_name string, match_id string, place int")
     assert rows(ingest.player_match_map(latest, player_label())) == [("T/a", ["M9", "M1"]), ("T/b", ["M1"])]
 
 
+def test_player_map_keeps_all_ids_and_players_with_one_label_apart(spark, rows):
+    latest = spark.createDataFrame([(p, "T", "a", f"M{i:02}", i) for p in "12" for i in range(1, 51)],
+                                   "puuid string, team string, game_name string, match_id string, place int")
+    assert rows(ingest.player_match_map(latest, player_label())) == [("T/a", [f"M{i:02}" for i in range(1, 51)])] * 2
+
+
 def test_new_ids_go_to_the_first_player_of_the_roster(spark, rows):
     lists = spark.createDataFrame([(1, "a", "M1"), (2, "b", "M1"), (2, "b", "M2"), (3, "c", "M2")],
                                   "ord int, player string, match_id string")

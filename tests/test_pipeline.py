@@ -157,3 +157,36 @@ def test_stream_upsert_keeps_the_latest_extraction_in_any_order(spark, tmp_path,
     assert load() == {"A": 2000, "B": 299}
     put(landing, "matches", "2026-03-25", "A.json", match("A", duration=1))
     assert load() == {"A": 2000, "B": 299}
+
+
+def test_an_older_day_loaded_second_changes_nothing_newer(spark, tmp_path, landing):
+    root = str(tmp_path / "lake")
+    put(landing, "matches", D2, "A.json", match("A", [team(100, False), team(200, True)], ten(kills=9)))
+    for day in (D2, D1):
+        run(spark, str(landing), root, day, buckets=4)
+    participants = read_table(spark, root, SILVER["match_participants"]).filter("match_id = 'A'")
+    assert {r.kills for r in participants.collect()} == {9}
+
+
+@pytest.mark.parametrize("since", [None, D2])
+def test_a_match_that_no_longer_counts_leaves_gold(spark, tmp_path, landing, since):
+    root = str(tmp_path / "lake")
+    run(spark, str(landing), root, D1, buckets=4)
+    put(landing, "matches", D2, "A.json", match("A", [team(100, True), team(200, False)], ten(), duration=120))
+    run(spark, str(landing), root, D2, buckets=4, gold_since=since)
+    assert {t: read_table(spark, root, c).count() for t, c in GOLD.items()} == dict.fromkeys(GOLD, 0)
+
+
+def test_older_matches_of_a_newly_tracked_player_reach_a_partial_build(spark, tmp_path, landing):
+    root = str(tmp_path / "lake")
+    teams = [team(100, True), team(200, False)]
+    people = [*ten()[:9], player("late", 10, teamId=200, championId=10, championName="C10")]
+    put(landing, "matches", D1, "C.json", match("C", teams, people))
+    run(spark, str(landing), root, D1, buckets=4)
+    performance = lambda: read_table(spark, root, GOLD["player_performance"])
+    assert performance().filter("puuid = 'late'").count() == 0
+    before = performance().count()
+    put(landing, "accounts", D2, "accounts.json", json.dumps([{"puuid": "late", "game_name": "late"}]))
+    run(spark, str(landing), root, D2, buckets=4, gold_since=D2)
+    assert performance().filter("puuid = 'late'").count() == 1
+    assert performance().count() == before + 1

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchloom.operators.joins import enrich, restrict, small_side
+from matchloom.operators.joins import enrich, restrict
 from matchloom.operators.keys import latest_by_key
 from matchloom.plans import gold as g
 from matchloom.plans import silver as s
@@ -91,12 +91,6 @@ def test_a_hot_key_is_split_over_tasks(spark, no_broadcast, how):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_only_a_side_shown_to_be_small_is_broadcast(spark, no_broadcast):
-    facts, names = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan(facts.join(small_side(names, 50), "k"))
-    assert "BroadcastHashJoin" not in plan(facts.join(small_side(names, 49), "k"))
-
-
 def test_numbering_reads_the_counts_once(layers):
     frames = g.player_frames_indexed(
         layers.silver("timeline_frames"), layers.silver("match_participants"), layers.silver("matches"), unique=True

@@ -2,7 +2,7 @@ import pytest
 
 from matchloom.operators import upsert as u
 from matchloom.schemas import SILVER, TableContract
-from matchloom.sources.tables import create_table, read_table, write_upsert
+from matchloom.sources.tables import create_table, read_table, write_replace, write_upsert
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,3 +106,21 @@ def test_catalog_tables_are_created_once(spark):
     table = spark.read.table("loom_silver.match_teams")
     assert table.columns == SILVER["match_teams"].columns
     assert table.filter(F.col("match_id").isNotNull()).count() == 0
+
+
+def test_the_bucket_count_stays_with_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    change = _rows(spark, [(f"k{n}", 1, "one") for n in range(20)])
+    write_upsert(change, CONTRACT, root, buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        write_upsert(change, CONTRACT, root, buckets=7)
+    write_upsert(change, CONTRACT, root)
+    assert read_table(spark, root, CONTRACT).count() == 20
+
+
+def test_replacing_removes_keys_without_rows_and_empty_buckets(spark, tmp_path, rows):
+    root = str(tmp_path)
+    write_upsert(_rows(spark, [("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x")]), CONTRACT, root, buckets=8)
+    scope = spark.createDataFrame([("a",), ("b",), ("new",)], "k string")
+    write_replace(_rows(spark, [("b", 2, "y"), ("new", 1, "z")]), scope, CONTRACT, root)
+    assert rows(read_table(spark, root, CONTRACT), "k") == [("b",), ("c",), ("new",)]
