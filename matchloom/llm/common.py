@@ -151,7 +151,7 @@ def components(edges: DataFrame) -> DataFrame:
         return live.select(F.col("a").alias("id"), F.col("b").alias("root"))
     labels = hooks[-1]
     for hook in reversed(hooks[:-1]):
-        labels = _follow(hook, labels).unionByName(labels)
+        labels = stage(_follow(hook, labels).unionByName(labels), "labels")
     return labels
 
 
