@@ -185,7 +185,7 @@ def labelled(spark, n=300):
     for i in range(n):
         bad = i % 4 == 0
         rows.append((i, prose(i, 60) if not bad else prose(i, 60).replace(" ", "### ")))
-        labels.append((i, int(not bad), i % 3 and 0 or 1))
+        labels.append((i, int(not bad), int(i % 3 == 0)))
     toxic = [(i, t + (" you stupid idiots" if i % 3 == 0 else "")) for i, t in rows]
     return frame(spark, rows), frame(spark, toxic), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
