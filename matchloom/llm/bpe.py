@@ -73,7 +73,7 @@ class PairTable:
 class Bpe:
     """Encoder and decoder of one rank file and one split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 300_000):
         self.known: dict[str, np.ndarray] = {}
         self.limit = limit
         self.pattern = regex.compile(pattern)

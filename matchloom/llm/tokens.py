@@ -23,7 +23,7 @@ class PieceCache:
     pieces the cache forgets all but the short ones, at twice that all, so memory stays bounded whatever the texts are.
     """
 
-    def __init__(self, encode: Encode, keep_space: bool, limit: int = 150_000):
+    def __init__(self, encode: Encode, keep_space: bool, limit: int = 600_000):
         self.encode, self.space, self.limit = encode, " " if keep_space else "", limit
         self.cache: dict[str, bytes | None] = {}
 
@@ -93,7 +93,7 @@ class LibraryEncoder:
     pre-token, which is remembered. All other texts, and tokenizers of another make, go through the library as a whole.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
