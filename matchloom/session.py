@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,5 +66,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     survive a lost executor without recomputing the lineage above.
     """
     path = shared_dir(df.sparkSession, f"stage-{name}")
+    for staged in getattr(_SCRATCH, "open", [])[-1:]:
+        staged.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH = threading.local()  # micro-batches run in threads of their own
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged within the block when it ends, so nothing lazy that reads it may leave the block."""
+    if not hasattr(_SCRATCH, "open"):
+        _SCRATCH.open = []
+    _SCRATCH.open.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.open.pop():
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; one that is absent stays so."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

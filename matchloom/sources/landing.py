@@ -15,7 +15,7 @@ def _partition(base: str, entity: str) -> str:
 
 
 def read_documents(
-    spark: SparkSession, base: str, entity: str, date: str | None = None, whole_file: bool = True
+    spark: SparkSession, base: str, entity: str, date: str | None = None, whole_file: bool = True, glob: str = "*.json"
 ) -> DataFrame:
     """Landed documents as ``(raw_json, extraction_date)``.
 
@@ -26,7 +26,7 @@ def read_documents(
         spark.read.format("text")
         .schema("value STRING, dt DATE")
         .option("wholetext", whole_file)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .load(_partition(base, entity))
     )
     if date is not None:
@@ -79,18 +79,22 @@ def land_json(df: DataFrame, base: str, entity: str, date_column: str = "dt") ->
     )
 
 
-def load_bronze(documents: DataFrame, path: str) -> None:
-    """Load documents into a bronze table; loading a day again replaces that day.
+def load_bronze(documents: DataFrame, path: str, load: str = "day") -> None:
+    """Load documents into a bronze table; repeating a load replaces what it brought for the same days.
 
-    Rebalancing gathers a day's documents into files of a sensible size, and
-    spreads a large day over many tasks.
+    A day's documents lie apart by the ``load`` that brought them: batch loads are all ``day``, and each micro-batch of a
+    stream has a name of its own, so a retried one writes the same files again and none touches another's. A document
+    brought by both kinds occurs twice; silver keeps one row per key. Rebalancing gathers a day's documents
+    into files of a sensible size, and spreads a large day over many tasks.
     """
     (
-        documents.select(*DOCUMENT.fieldNames()).hint("rebalance", "extraction_date")
+        documents.select(*DOCUMENT.fieldNames()).hint("rebalance", "extraction_date").withColumn("load", F.lit(load))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("extraction_date").parquet(path)
+        .partitionBy("extraction_date", "load").parquet(path)
     )
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT).parquet(path)
+    """All documents of a bronze table, whatever brought them."""
+    layout = T.StructType([*DOCUMENT.fields, T.StructField("load", T.StringType())])
+    return spark.read.schema(layout).parquet(path).select(*DOCUMENT.fieldNames())

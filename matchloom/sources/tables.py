@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from matchloom.operators.upsert import replace_group, upsert, upsert_newest
 from matchloom.schemas import TableContract
-from matchloom.session import stage
+from matchloom.session import delete_path, scratch, stage
 
 BUCKETS = 64
 
@@ -125,20 +125,21 @@ def write_upsert(
         _write(rows, path, "overwrite")
         return
 
-    rows = stage(rows, contract.name)
-    stored = stored.filter(F.col("bucket").isin(*_values(rows)))
-    on = list(group or contract.key)
-    met = stored.join(rows.select("bucket", *on), ["bucket", *on], "left_semi")
-    touched = _values(met)
-    if touched:
-        in_touched = F.col("bucket").isin(*touched)
-        target, update = stored.filter(in_touched), rows.filter(in_touched)
-        merge = replace_group if group else upsert_newest if newest_wins else upsert
-        # Dynamic overwrite swaps the buckets only once all of them are written, so
-        # the job may read the buckets it replaces.
-        _write(merge(target, update, on), path, "overwrite")
-        rows = rows.filter(~in_touched)
-    _write(rows, path, "append")
+    with scratch(spark):
+        rows = stage(rows, contract.name)
+        stored = stored.filter(F.col("bucket").isin(*_values(rows)))
+        on = list(group or contract.key)
+        met = stored.join(rows.select("bucket", *on), ["bucket", *on], "left_semi")
+        touched = _values(met)
+        if touched:
+            in_touched = F.col("bucket").isin(*touched)
+            target, update = stored.filter(in_touched), rows.filter(in_touched)
+            merge = replace_group if group else upsert_newest if newest_wins else upsert
+            # Dynamic overwrite swaps the buckets only once all of them are written, so
+            # the job may read the buckets it replaces.
+            _write(merge(target, update, on), path, "overwrite")
+            rows = rows.filter(~in_touched)
+        _write(rows, path, "append")
 
 
 def write_all(source: DataFrame, contract: TableContract, root: str, buckets: int | None = None) -> None:
@@ -164,17 +165,17 @@ def write_replace(
     if _stored(spark, root, contract) is None:
         write_upsert(source, contract, root, buckets)
         return
-    scope = stage(scope.select(first).distinct().withColumn("bucket", bucket_of(contract, buckets)), "scope")
-    rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
-    touched = _values(scope)
-    stored = _stored(spark, root, contract).filter(F.col("bucket").isin(*touched))
-    kept = stored.join(scope, ["bucket", first], "left_anti").select(*rows.columns)
-    result = stage(kept.unionByName(rows), contract.name)
-    _write(result, table_path(root, contract), "overwrite")
-    emptied = set(touched) - set(_values(result))
-    for bucket in emptied:  # an overwrite by partition leaves those without a row as they were
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path(root, contract)}/bucket={bucket}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    with scratch(spark):
+        scope = stage(scope.select(first).distinct().withColumn("bucket", bucket_of(contract, buckets)), "scope")
+        rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
+        touched = _values(scope)
+        stored = _stored(spark, root, contract).filter(F.col("bucket").isin(*touched))
+        kept = stored.join(scope, ["bucket", first], "left_anti").select(*rows.columns)
+        result = stage(kept.unionByName(rows), contract.name)
+        _write(result, table_path(root, contract), "overwrite")
+        emptied = set(touched) - set(_values(result))
+        for bucket in emptied:  # an overwrite by partition leaves those without a row as they were
+            delete_path(spark, f"{table_path(root, contract)}/bucket={bucket}")
 
 
 def _values(df: DataFrame) -> list[int]:

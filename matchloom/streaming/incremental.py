@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchloom.schemas import TableContract
+from matchloom.sources.landing import load_bronze
 from matchloom.sources.tables import write_upsert
 
 
@@ -32,11 +34,18 @@ def stream_documents(
 
 
 def append_bronze(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append new documents to a bronze table and stop when all are in."""
+    """Append new documents to a bronze table, which batch loads may share, and stop when all are in.
+
+    A micro-batch is named by its checkpoint and number, so a retry replaces what the first attempt wrote.
+    """
+    stream = f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        load_bronze(batch, path, f"{stream}-{batch_id}")
+
     return (
-        documents.writeStream.format("parquet").partitionBy("extraction_date")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        documents.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
 
 

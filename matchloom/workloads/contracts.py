@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import functions as F
 
-from matchloom.operators.quality import check, settle
-from matchloom.plans.pipeline import Lakehouse, run_gold, run_silver
+from matchloom.operators.quality import check, combine, settle
+from matchloom.plans.pipeline import Lakehouse, amend_silver, run_gold, run_silver, validate
 from matchloom.plans.validation import (
     gold_references, gold_rules, silver_references, silver_rules, validate_gold, validate_silver,
 )
@@ -130,14 +132,17 @@ RULE_SQL["gold_player_frames_indexed"] |= {
 }
 
 
-def _report_sql(tables: list[str], rule: str | None = None) -> str:
-    lines = [
+def _report_lines(tables: Iterable[str], rule: str | None = None) -> list[str]:
+    return [
         f"SELECT '{table}' AS table_name, '{name}' AS rule, CAST({sql} AS BIGINT) AS violations"
         for table in tables
         for name, sql in RULE_SQL[table].items()
         if rule is None or name == rule
     ]
-    return over_lakehouse("\nUNION ALL ".join(lines))
+
+
+def _report_sql(tables: list[str], rule: str | None = None) -> str:
+    return over_lakehouse("\nUNION ALL ".join(_report_lines(tables, rule)))
 
 
 class _Stored:
@@ -203,31 +208,43 @@ def gold_validation(spark, sf):
     return settle(validate_gold({t: layers.gold(t) for t in GOLD}, silver), on_violation="report")
 
 
+MEASURES = {
+    "team_stats": "baron_kills", "player_performance": "gold_earned", "draft": "draft_order",
+    "player_frames_indexed": "total_gold",
+}
+
+
+def _key(table: str) -> str:
+    return f"concat_ws('/', {', '.join(GOLD[table].key)})"
+
+
 @query(
     "pipe_gold",
     over_lakehouse(
         "\nUNION ALL ".join(
-            f"SELECT '{t}' AS table_name, count(*) AS n, count(DISTINCT match_id) AS n_matches FROM gold_{t}"
-            for t in GOLD
+            [f"SELECT '{t}' AS table_name, {_key(t)} AS row_key, CAST({m} AS BIGINT) AS measure FROM gold_{t}"
+             for t, m in MEASURES.items()]
+            + _report_lines(RULE_SQL)
+            + [f"SELECT 'bronze_{t}', 'rejected_documents', CAST(0 AS BIGINT)" for t in ("matches", "timelines")]
         )
     ),
 )
 def pipeline(spark, sf):
-    """Bronze to gold through stored tables; the gold step runs twice and changes nothing."""
+    """Bronze to gold through stored tables, amended and validated; the gold step runs twice and changes nothing.
+
+    Rows of the tables by key with a measure, then the report.
+    """
     layers, lake = Layers(spark, sf), Lakehouse(spark, shared_dir(spark, "lake"), buckets=4)
     for entity in ("accounts", "matches", "timelines"):
         load_bronze(layers.bronze(entity), table_path(lake.root, BRONZE[entity]))
-    run_silver(lake)
+    rejected = run_silver(lake)
+    amend_silver(lake)
     run_gold(lake)
     run_gold(lake)
-    counts = [
-        df.agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("n"),
-            F.count_distinct("match_id").alias("n_matches"),
-        )
-        for name, df in lake.gold().items()
+    gold = lake.gold()
+    rows = [
+        gold[t].select(F.lit(t).alias("table_name"), F.expr(_key(t)).alias("row_key"), F.col(m).cast("bigint").alias("measure"))
+        for t, m in MEASURES.items()
     ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    report = combine([validate(lake), rejected])
+    return combine([*rows, report.toDF("table_name", "row_key", "measure")])

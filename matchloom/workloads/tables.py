@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.documents import player_label
@@ -10,7 +11,8 @@ from matchloom.plans import ingest, reports
 from matchloom.plans.pipeline import amend_participant_ids
 from matchloom.schemas import GOLD, SILVER
 from matchloom.session import shared_dir
-from matchloom.sources.landing import load_bronze, read_bronze
+from matchloom.sources.landing import land_json, load_bronze, read_bronze, read_documents
+from matchloom.workloads.documents import EVENT_FIELDS, POSITION
 from matchloom.workloads.inputs import Layers
 from matchloom.workloads.lakehouse_sql import over_lakehouse
 from matchloom.workloads.registry import query
@@ -38,17 +40,33 @@ def _builders() -> None:
 _builders()
 
 
-@query(
-    "tbl_bronze_load",
-    over_lakehouse("SELECT extraction_date, count(*) AS documents FROM timeline GROUP BY 1"),
+LOADED_SQL = over_lakehouse(
+    f"""SELECT match_id, at_ms, {POSITION['x']} AS x, at_ms + eid % 60000 AS later_ms,
+           {EVENT_FIELDS['type']} AS type, extraction_date FROM timeline"""
 )
+
+
+def loaded(documents: DataFrame) -> DataFrame:
+    """What tells timeline documents apart, read from their text."""
+    def field(path: str):
+        return F.get_json_object("raw_json", path)
+
+    frame = "$.info.frames[0]"
+    return documents.select(
+        field("$.metadata.matchId").alias("match_id"), field(f"{frame}.timestamp").cast("bigint").alias("at_ms"),
+        field(f"{frame}.events[0].position.x").cast("int").alias("x"), field(f"{frame}.events[1].timestamp").cast("bigint").alias("later_ms"),
+        field(f"{frame}.events[0].type").alias("type"), "extraction_date",
+    )
+
+
+@query("tbl_bronze_load", LOADED_SQL)
 def bronze_load(spark, sf):
     """Loading the same days twice leaves each document once."""
     path = shared_dir(spark, "bronze")
     documents = Layers(spark, sf).bronze("timelines")
     load_bronze(documents, path)
     load_bronze(documents, path)
-    return read_bronze(spark, path).groupBy("extraction_date").agg(F.count("*").alias("documents"))
+    return loaded(read_bronze(spark, path))
 
 
 @query(
@@ -153,6 +171,34 @@ def match_id_collect(spark, sf):
     )
 
 
+@query(
+    "tbl_match_ids_load",
+    PLAYED_SQL
+    + """SELECT 'id' AS part, match_id AS name, CAST(NULL AS VARCHAR) AS match_ids, DATE '2026-03-26' AS extraction_date
+         FROM (SELECT DISTINCT match_id FROM latest)
+         UNION ALL SELECT 'player', player, string_agg(match_id, ',' ORDER BY place), DATE '2026-03-26'
+         FROM latest GROUP BY puuid, player""",
+)
+def match_ids_load(spark, sf):
+    """Id list and player map landed under paths of their own, the list loaded into bronze, both read back."""
+    base, bronze = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    latest, day = ingest.latest_matches(played(spark, sf)), F.lit("2026-03-26").alias("dt")
+    land_json(latest.select("match_id", day).distinct(), base, "match_ids")
+    land_json(ingest.player_match_map(latest, player_label()).select("*", day), base, "player_match_map")
+    load_bronze(read_documents(spark, base, "match_ids", whole_file=False), bronze)
+    ids = read_bronze(spark, bronze).select(
+        F.lit("id").alias("part"), F.get_json_object("raw_json", "$.match_id").alias("name"),
+        F.lit(None).cast("string").alias("match_ids"), "extraction_date",
+    )
+    players = read_documents(spark, base, "player_match_map", whole_file=False).select(
+        F.from_json("raw_json", "player STRING, match_ids ARRAY<STRING>").alias("p"), "extraction_date"
+    )
+    return ids.unionByName(players.select(
+        F.lit("player").alias("part"), F.col("p.player").alias("name"), F.array_join("p.match_ids", ",").alias("match_ids"),
+        "extraction_date",
+    ))
+
+
 @query(
     "agg_player_map",
     PLAYED_SQL

@@ -2,16 +2,17 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from test_silver import match, player, team, timeline
 
 from matchloom.operators.quality import ContractViolation
 from matchloom.plans import silver as s
-from matchloom.plans.pipeline import Lakehouse, amend_participant_ids, run, run_bronze, run_gold, run_silver
+from matchloom.plans.pipeline import Lakehouse, amend_participant_ids, amend_silver, run, run_bronze, run_gold, run_silver
 from matchloom.schemas import DOCUMENT, GOLD, SILVER
 from matchloom.sources import landing as l
-from matchloom.sources.tables import read_table
+from matchloom.sources.tables import read_table, write_upsert
 from matchloom.streaming.incremental import append_bronze, stream_documents, upsert_stream
 
 D1, D2 = "2026-03-26", "2026-03-27"
@@ -56,7 +57,8 @@ def contents(spark, root):
 def test_a_run_a_second_run_and_a_clean_report(spark, tmp_path, landing):
     root = str(tmp_path / "lake")
     report = run(spark, str(landing), root, D1, buckets=4, on_violation="raise")
-    assert {r.rule for r in report.filter("violations > 0").collect()} == set()
+    assert {(r.table_name, r.rule, r.violations) for r in report.filter("violations > 0").collect()} == {
+        ("bronze_matches", "rejected_documents", 1)}  # the broken file
     first = contents(spark, root)
     assert {t: len(first[t]) for t in GOLD} == {
         "team_stats": 2, "player_performance": 10, "draft": 13, "player_frames_indexed": 30}
@@ -145,6 +147,54 @@ def test_stream_loads_every_file_once(spark, tmp_path, landing):
     assert load() == 4
 
 
+def test_stream_and_batch_share_a_bronze_table_in_any_order(spark, tmp_path, landing):
+    put(landing, "matches", D2, "C.json", match("C"))
+
+    def batch(path):
+        l.load_bronze(l.read_documents(spark, str(landing), "matches", D2), path)
+
+    def stream(path):
+        docs = stream_documents(spark, str(landing), "matches", max_files=1).filter(f"extraction_date < '{D2}'")
+        append_bronze(docs, path, f"{path}-checkpoint").awaitTermination()
+
+    whole = sorted(r.raw_json for r in l.read_documents(spark, str(landing), "matches").collect())
+    for i, steps in enumerate([(batch, stream), (stream, batch), (stream, batch, batch, stream)]):
+        path = str(tmp_path / f"bronze{i}")
+        for step in steps:
+            step(path)
+        assert sorted(r.raw_json for r in l.read_bronze(spark, path).collect()) == whole
+
+
+def test_nothing_staged_stays_after_a_run_or_a_stream(spark, tmp_path, landing):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(folder.glob("stage-*"))
+    report = run(spark, str(landing), str(tmp_path / "lake"), buckets=2)
+    run(spark, str(landing), str(tmp_path / "lake"), D1, buckets=2, gold_since=D1)
+    upsert_stream(stream_documents(spark, str(landing), "matches", max_files=1),
+                  lambda b: s.matches(s.parsed_matches(b)), SILVER["matches"], str(tmp_path / "other"),
+                  str(tmp_path / "checkpoint"), 2).awaitTermination()
+    assert set(folder.glob("stage-*")) == before
+    assert report.count() > 0
+
+
+def test_id_lists_are_loaded_where_they_land(spark, tmp_path, landing):
+    put(landing, "match_ids", D1, "match_ids.json", '["A", "B"]')
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    run_bronze(lake, str(landing), D1)
+    assert [r.raw_json for r in lake.bronze("match_ids").collect()] == ['["A", "B"]']
+
+
+def test_a_run_fills_participant_ids_that_stored_rows_lack(spark, tmp_path, landing):
+    root, contract = str(tmp_path / "lake"), SILVER["match_participants"]
+    run(spark, str(landing), root, D1, buckets=2)
+    first = contents(spark, root)
+    stored = read_table(spark, root, contract)
+    emptied = spark.createDataFrame([(*r[:2], None, *r[3:]) for r in stored.collect()], contract.schema)
+    write_upsert(emptied, contract, root, 2)
+    amend_silver(Lakehouse(spark, root, 2))
+    assert contents(spark, root) == first
+
+
 def test_stream_upsert_keeps_the_latest_extraction_in_any_order(spark, tmp_path, landing):
     contract, root, checkpoint = SILVER["matches"], str(tmp_path / "lake"), str(tmp_path / "checkpoint")
 
