@@ -34,8 +34,8 @@ def toxicity_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id stays; documents without words are left alone.
 
-    Copies that share 0.8 of their five-word shingles differ in about 6 of 64 bits, so candidates need two shared bytes and
-    at most 16 different bits, and the shingles decide.
+    Copies that share 0.8 of their five-word shingles differ in 7 to 10 of 64 bits, and up to a third of such pairs lacks two equal
+    bytes. So candidates have two shared bytes and at most 16 different bits, or share a band of minimum hashes.
     """
     found = simhash.near_duplicates(docs, most=16, alike=2, similar=SIMILAR)
     kept = found.filter(

@@ -75,6 +75,16 @@ def simhashes(docs, most=2):
     return {i: (f"{prints[i]:016x}", root[i]) for i in prints}
 
 
+def shingles(text, width=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + width]) for i in range(max(len(words) - width, 0) + 1)}
+
+
+def jaccard(left, right):
+    a, b = shingles(left), shingles(right)
+    return len(a & b) / len(a | b)
+
+
 def warc(pages, least=0):
     """{id: (bytes, digest, type, refers_to)} of (id, html) rows with different ids."""
     by_payload = defaultdict(list)

@@ -178,6 +178,33 @@ def test_wide_links_need_alike_shingles(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def edited(words, share, block, seed):
+    """A copy whose five-word shingles have about the Jaccard similarity ``share`` with those of ``words``."""
+    rng, n = random.Random(seed), len(words) - 4
+    changed = round(n * (1 - share) / (1 + share))
+    new = list(words)
+    if block:
+        at = rng.randrange(5, len(words) - changed - 5)
+        places = range(at, at + changed - 4)
+    else:
+        places = rng.sample(range(5, len(words) - 5, 5), round(changed / 5))
+    for p in places:
+        new[p] = f"new{seed}x{p}"
+    return new
+
+
+def test_pairs_of_alike_texts_meet_in_a_posting(spark):
+    rows, pairs = [], []
+    for k in range(120):
+        words = prose(1000 + k, 300).split()
+        pair = " ".join(words), " ".join(edited(words, (0.86, 0.9)[k % 2], k % 4 < 2, k))
+        rows += [(2 * k, pair[0]), (2 * k + 1, pair[1])]
+        pairs.append(brute.jaccard(*pair))
+    assert 0.83 < min(pairs) and max(pairs) < 0.93
+    found = simhash.near_duplicates(frame(spark, rows), most=16, alike=2, similar=0.6)
+    assert by(found, "doc_id", "component_id") == {i: i - i % 2 for i, _ in rows}
+
+
 # --- classifiers -----------------------------------------------------------------------
 
 def labelled(spark, n=300):
