@@ -13,7 +13,7 @@ from matchloom.session import stage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 QUALITY_LEAST = 0.3
 TOXIC_MOST = 0.7
-SIMILAR = 0.78  # of the sketches, whose standard error at 0.8 is 0.05
+SIMILAR = 0.8  # Jaccard similarity of the five-word shingles
 REPEAT_BYTES = 200  # about fifty short words
 
 
@@ -35,7 +35,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Of each component of near-duplicates the document with the smallest id stays; documents without words are left alone.
 
     Copies that share 0.8 of their five-word shingles differ in 7 to 10 of 64 bits, and up to a third of such pairs lacks two equal
-    bytes. So candidates have two shared bytes and at most 16 different bits, or share a band of minimum hashes.
+    bytes. So candidates have two shared bytes and at most 16 different bits, or share a band of minimum hashes; whole shingle
+    sets decide.
     """
     found = simhash.near_duplicates(docs, most=16, alike=2, similar=SIMILAR)
     kept = found.filter(

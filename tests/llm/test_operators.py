@@ -205,6 +205,22 @@ def test_pairs_of_alike_texts_meet_in_a_posting(spark):
     assert by(found, "doc_id", "component_id") == {i: i - i % 2 for i, _ in rows}
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_whole_shingle_sets_decide(spark, block):
+    """Pairs and a group around the threshold, held against exact similarities."""
+    rows = []
+    for k in range(60):
+        words = prose(2000 + k, 120).split()
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(edited(words, 0.75 + 0.1 * k / 60, k % 2 == 0, k)))]
+    words = prose(3000, 120).split()
+    rows += [(200 + k, " ".join(edited(words, 0.87, False, k))) for k in range(12)]
+    links = [(a, b) for a, s in rows for b, t in rows if a < b and brute.jaccard(s, t) >= 0.8]
+    alone = [k for k in range(60) if (2 * k, 2 * k + 1) not in links]
+    assert 15 < len(alone) < 45
+    found = simhash.near_duplicates(frame(spark, rows), most=16, alike=2, similar=0.8, block=block)
+    assert by(found, "doc_id", "component_id") == brute.groups([i for i, _ in rows], links)
+
+
 # --- classifiers -----------------------------------------------------------------------
 
 def labelled(spark, n=300):
