@@ -14,6 +14,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 QUALITY_LEAST = 0.3
 TOXIC_MOST = 0.7
 SIMILAR = 0.8  # Jaccard similarity of the five-word shingles
+NAMES = 1 << 62  # names of rows without an id start here
 REPEAT_BYTES = 200  # about fifty short words
 
 
@@ -32,19 +33,20 @@ def toxicity_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id stays; documents without words are left alone.
+    """Of each component of near-duplicates the document with the smallest id stays; documents without words are one component.
 
     Copies that share 0.8 of their five-word shingles differ in 7 to 10 of 64 bits, and up to a third of such pairs lacks two equal
     bytes. So candidates have two shared bytes and at most 16 different bits, or share a band of minimum hashes; whole shingle
     sets decide.
     """
-    found = simhash.near_duplicates(docs, most=16, alike=2, similar=SIMILAR)
-    kept = found.filter(
-        (F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull() | (F.col("fingerprint") == "0" * 16)
-    ).select("doc_id").distinct()
+    # Rows without an id are named by their text, above all ids, so that their copies meet and a document with an id stays.
+    by_text = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(NAMES - 1).bitwiseOR(NAMES)
+    docs = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), by_text).alias("name"))
+    found = simhash.near_duplicates(docs, "name", most=16, alike=2, similar=SIMILAR)
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("name")).distinct()
     # A row repeated with its id is a copy like any other.
-    rows = docs.select(*COLUMNS).join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    rows = docs.join(kept, "name", "left_semi").withColumn("known", F.coalesce("text", F.lit("")))
+    return rows.dropDuplicates(["name", "known"]).select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
