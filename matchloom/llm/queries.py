@@ -1,4 +1,4 @@
-"""The corpus operators as registered queries over the test tables, with the SQL of those SQL can express."""
+"""The corpus operators as registered queries over the test tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.llm import (
-    arrow_ids, bpe, embeddings, fingerprints, packing, quality, simhash, suffix, toxicity, warc,
+    align, arrow_ids, bpe, embeddings, fingerprints, lines, packing, quality, search, simhash, suffix, toxicity, warc,
 )
 from matchloom.llm.common import table
+from matchloom.llm.queries_sql import ORACLES
 
 
 def tokenizer_file(name: str) -> str:
@@ -85,6 +86,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return align.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return search.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_lines(table(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,8 +110,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_simhash_near_dedup, op5_quality, op6_toxicity,
-        op7_packing, op8_byte_bpe, op9_arrow_ids, op10_warc, pipeline,
+        op7_packing, op8_byte_bpe, op9_arrow_ids, op10_warc, op11_alignment, op12_lexical_search, op13_line_dedup, pipeline,
     )
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

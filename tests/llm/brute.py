@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -113,3 +115,75 @@ def edited(docs):
 
 def crc_of_ids(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def kept_lines(docs, least=20, documents=3):
+    """{id: (lines, dropped, kept text)} of (id, text) rows with different ids."""
+    def key(line):
+        return lower(line.strip(" \t\n\x0b\x0c\r"))
+
+    holders = defaultdict(set)
+    for i, text in docs:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= least:
+                holders[key(line)].add(i)
+    out = {}
+    for i, text in docs:
+        every = (text or "").split("\n")
+        kept = [x for x in every if len(holders[key(x)]) < documents or max(holders[key(x)]) == i]
+        out[i] = (len(every), len(every) - len(kept), "\n".join(kept))
+    return out
+
+
+def ranking(docs, items, top=10):
+    """{(item, rank): (id, score)} of (id, text) rows with different ids."""
+    def words(text):
+        return re.findall("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text or ""))
+
+    bags = {i: Counter(words(t)) for i, t in docs}
+    bags = {i: b for i, b in bags.items() if b}
+    total = sum(b.total() for b in bags.values())
+    held = Counter(t for b in bags.values() for t in b)
+    out = {}
+    for item, text in items:
+        scores = []
+        for i, bag in bags.items():
+            m = 100 - 90 + (90 * bag.total() * len(bags)) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * len(bags) + 2) / (2 * held[t] + 1))) * ((1000000000 * bag[t]) // (1000 * bag[t] + 8 * m))
+                for t in set(words(text)) if t in bag
+            )
+            if score > 0:
+                scores.append((-score, i))
+        out |= {(item, n): (i, -s) for n, (s, i) in enumerate(sorted(scores)[:top], 1)}
+    return out
+
+
+def alignment(texts, encode_a, spell_a, encode_b, spell_b):
+    """Per text: tokens of A, of B, groups as text, links (pairs of ids)."""
+    out = []
+    for text in texts:
+        wanted = (" " + (text or "")).encode()
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        if not text or b"".join(map(spell_a, a)) != wanted or b"".join(map(spell_b, b)) != wanted:
+            out.append((0, 0, "", []))
+            continue
+        ends = []
+        for ids, spell in ((a, spell_a), (b, spell_b)):
+            at, here = 0, {}
+            for place, i in enumerate(ids):
+                at += len(spell(i))
+                here[at] = place
+            ends.append(here)
+        groups, links, p, q = [], [], 0, 0
+        for end in sorted(ends[0].keys() & ends[1].keys()):
+            x, y = ends[0][end] + 1, ends[1][end] + 1
+            groups.append(",".join(map(str, a[p:x])) + "|" + ",".join(map(str, b[q:y])))
+            links.append((a[x - 1], b[y - 1]))
+            p, q = x, y
+        out.append((len(a), len(b), ";".join(groups), links))
+    return out
