@@ -3,10 +3,10 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from matchloom.workloads import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,5 +26,9 @@ def test_query(spark, connection, name):
     assert [p for p in problems if not p.endswith("no rows")] == []
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= queries().items()
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
