@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchloom.session import stage
+
 
 def _orderable(df: DataFrame, skip: set[str]) -> list[Column]:
     return [
@@ -54,55 +58,79 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def _count_runs(keys: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """For sorted rows, the place of each within the run of equal keys, from 1 on; the run may go on from the batch before."""
+    before, count = None, 0
+    for key in keys:  # a struct
+        size, columns = len(key), key.flatten()
+        if not size:
+            yield pa.array([], pa.int64())
+            continue
+        new = np.zeros(size, dtype=bool)
+        for column in columns:
+            here, last = column.slice(1), column.slice(0, size - 1)
+            differ = pc.or_(
+                pc.fill_null(pc.not_equal(here, last), False), pc.xor(pc.is_null(here), pc.is_null(last))
+            )
+            new[1:] |= differ.to_numpy(zero_copy_only=False)
+        new[0] = key[0].as_py() != before
+        start = np.maximum.accumulate(np.where(new, np.arange(size), -1))
+        place = np.arange(size) - start + 1
+        place[start < 0] = count + 1 + np.arange(int((start < 0).sum()))
+        before, count = key[size - 1].as_py(), int(place[-1])
+        yield pa.array(place, pa.int64())
+
+
+def numbered_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: Sequence[Column] | None = None
+) -> DataFrame:
+    """``df`` dealt out by ranges of (key, order), with the range (``_part``) and each row's place in its key there (``_local``).
+
+    Spark samples the rows for the borders of the ranges, so a range holds about as many rows as another whatever the
+    keys are. The key columns alone go through Arrow to be numbered, in the task that sorted them. The table is written, so
+    that borders and places do not change when a task is repeated.
+    """
+    leading = [F.asc(o) if isinstance(o, str) else o for o in order]
+    if ties is None:
+        ties = _orderable(df, set(keys) | {o for o in order if isinstance(o, str)})
+    by = [*[F.asc(k) for k in keys], *leading, *ties]
+    ranges = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    place = F.arrow_udf(_count_runs, T.LongType()).asNondeterministic()  # never moved below the sort
+    return stage(ranges.withColumns({"_part": F.spark_partition_id(), "_local": place(F.struct(*keys))}), "ranges")
+
+
 def running_index(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
-    slices: Sequence[Column],
     name: str,
-    counted: DataFrame | None = None,
+    ties: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3, … without putting a key into one task.
 
-    ``slices`` are coarse-to-fine expressions that never decrease in ``order``
-    (say day, then hour). Rows are numbered within their finest slice, and the
-    row counts of the earlier slices, a small aggregate that is summed level by
-    level, are added. The rows are shuffled once, by key *and* slice, so a task
-    holds one slice of a key however many rows the key has. Keys and slices
-    must not be NULL. The input is read twice: hand in a stored table. Where
-    ``df`` is a table that a join narrowed to some of its keys, that table may be
-    ``counted`` instead, which saves the join when counting.
+    The rows are shuffled once, by ranges of (key, order); see :func:`numbered_ranges`. Only the key at the beginning of a range
+    may have rows in ranges before it, so a range is corrected by one number, which comes from one row per range. Ties in
+    ``order`` go by ``ties``, by default all remaining columns, so a key whose rows share one value of ``order`` is dealt
+    out as well. Keys and order may be NULL, which sorts first. ``df`` is read twice, once for the sample: hand in a stored table.
     """
-    levels = [f"_slice{i}" for i in range(len(slices))]
-    cut = df.withColumns(dict(zip(levels, slices)))
-
-    counts = (df if counted is None else counted).withColumns(dict(zip(levels, slices)))
-    counts = counts.groupBy(*keys, *levels).agg(F.count("*").alias("_n"))
-    for column in (*keys, *levels):
-        # Stated once here, so that all levels share one scan and one shuffle.
-        counts = counts.filter(F.col(column).isNotNull())
-    offset = None
-    for depth in range(len(levels)):
-        prefix, level = levels[:depth], levels[depth]
-        per_slice = counts.groupBy(*keys, *prefix, level).agg(F.sum("_n").alias("_n"))
-        before = (
-            Window.partitionBy(*keys, *prefix).orderBy(level)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        part = per_slice.select(
-            *keys, *prefix, level,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{depth}"),
-        )
-        offset = part if offset is None else part.join(offset, [*keys, *prefix])
-    total = reduce(lambda a, b: a + b, [F.col(f"_before{i}") for i in range(len(levels))])
-    offset = offset.select(*keys, *levels, total.alias("_offset"))
-
-    within = Window.partitionBy(*keys, *levels).orderBy(*order)
-    numbered = cut.withColumn("_local", F.row_number().over(within))
-    return (
-        numbered.join(offset, [*keys, *levels])
-        .withColumn(name, F.col("_local") + F.col("_offset"))
-        .select(*df.columns, name)
+    numbered = numbered_ranges(df, keys, order, ties)
+    key = F.struct(*keys)
+    # One row per range: its first key, its last key, and how many rows of the last one it has.
+    ends = numbered.groupBy("_part").agg(
+        F.min(key).alias("first"), F.max(F.struct(key.alias("key"), F.col("_local").alias("rows"))).alias("last")
+    )
+    so_far = Window.partitionBy("last.key").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.withColumn("upto", F.struct("last.key", F.sum("last.rows").over(so_far).alias("rows")))
+    ends = ends.withColumn("before", F.lag("upto").over(Window.orderBy("_part")))
+    offsets = ends.filter(F.col("before.key") == F.col("first")).select(
+        F.col("_part").alias("_range"), *[F.col(f"first.{k}").alias(f"_first_{i}") for i, k in enumerate(keys)],
+        F.col("before.rows").alias("_offset"),
+    )
+    same = F.col("_part") == F.col("_range")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_first_{i}"))
+    return numbered.join(F.broadcast(offsets), same, "left").select(
+        *df.columns, (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias(name)
     )
 
 

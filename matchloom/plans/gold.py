@@ -17,7 +17,6 @@ from matchloom.operators.joins import enrich, lookup, restrict, valid_matches
 from matchloom.operators.keys import latest_by_key, running_index
 from matchloom.schemas import GOLD, NO_CHAMPION, SILVER, UNKNOWN_NAME
 
-HOUR_MS = 3_600_000
 
 
 def _facts(df: DataFrame, table: str, unique: bool) -> DataFrame:
@@ -114,11 +113,7 @@ def player_frames_indexed(
     ).drop("extraction_date")
     facts = _facts(frames, "timeline_frames", unique)
     kept = restrict(facts, valid_matches(matches), ["match_id"])
-    hour, months = F.expr(f"timestamp_ms div {HOUR_MS}"), F.expr(f"timestamp_ms div {4096 * HOUR_MS}")
-    numbered = running_index(
-        kept, ["match_id", "participant_id"], ["timestamp_ms"],
-        [months, hour], "frame_index", counted=facts,
-    )
+    numbered = running_index(kept, ["match_id", "participant_id"], ["timestamp_ms"], "frame_index", ties=[])
     return GOLD["player_frames_indexed"].conform(
         enrich(numbered, people, ["match_id", "participant_id"], "left")
     )

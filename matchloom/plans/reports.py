@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.operators.keys import moving_mean, running_index
+from matchloom.session import stage
 
 FORM_GAMES = 5
 
@@ -24,16 +25,10 @@ def champion_pool(performance: DataFrame) -> DataFrame:
 
 
 def form_trend(performance: DataFrame, matches: DataFrame, games: int = FORM_GAMES) -> DataFrame:
-    """Mean KDA of each player's last games, as of every game with a known start.
-
-    Takes stored tables: both are read twice.
-    """
+    """Mean KDA of each player's last games, as of every game with a known start."""
     started = matches.filter(F.col("game_creation").isNotNull()).select("match_id", "game_creation")
     rows = performance.select("match_id", "puuid", "kda").join(started, "match_id")
-    numbered = running_index(
-        rows, ["puuid"], ["game_creation", "match_id"],
-        [F.date_trunc("month", "game_creation"), F.date_trunc("hour", "game_creation")], "game_number",
-    )
+    numbered = running_index(stage(rows, "games"), ["puuid"], ["game_creation", "match_id"], "game_number", ties=[])
     return moving_mean(numbered, ["puuid"], "game_number", F.col("kda"), games, "form_kda")
 
 

@@ -459,10 +459,7 @@ def latest_pid(spark, sf):
 )
 def frame_index(spark, sf):
     events = Layers(spark, sf).table("events").select("user_id", "ts", "event_id")
-    return running_index(
-        events, ["user_id"], ["ts", "event_id"],
-        [F.date_trunc("week", "ts"), F.date_trunc("hour", "ts")], "frame_index",
-    )
+    return running_index(events, ["user_id"], ["ts", "event_id"], "frame_index", ties=[])
 
 
 @query(
@@ -475,7 +472,14 @@ def ban_order(spark, sf):
     ).orderBy("match_id", "team_id", "draft_order")
 
 
-@query("set_union_all", over_lakehouse("SELECT match_id, team_id, champion_id, type, draft_order FROM draft_rows"))
+@query(
+    "set_union_all",
+    over_lakehouse(
+        """SELECT match_id, team_id, champion_id, type, draft_order FROM bans
+           UNION ALL
+           SELECT match_id, team_id, champion_id, 'pick', CAST(NULL AS INT) FROM silver_match_participants"""
+    ),
+)
 def union_all(spark, sf):
     layers = Layers(spark, sf)
     columns = ["match_id", "team_id", "champion_id", "type", "draft_order"]

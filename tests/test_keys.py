@@ -1,11 +1,16 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchloom.operators.keys import duplicate_keys, latest_by_key, moving_mean, running_index, top_n_by_key
+from matchloom.operators.keys import (
+    _count_runs, duplicate_keys, latest_by_key, moving_mean, numbered_ranges, running_index, top_n_by_key,
+)
 
 quick = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -28,16 +33,42 @@ def test_top_n_and_duplicates(spark, rows):
     assert rows(duplicate_keys(df, ["k"])) == [("a", 5), ("b", 5)]
 
 
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    yield 16
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 @quick
-@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(-500, 500)), unique=True, max_size=80))
-def test_running_index_matches_brute_force(spark, data):
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-50, 50))), max_size=80))
+def test_running_index_matches_brute_force(spark, many_ranges, data):
+    """Ranges hold a few rows each here; keys and order may be NULL, and rows may be repeated."""
     df = spark.createDataFrame(data, "k string, t int")
-    out = running_index(df, ["k"], ["t"], [F.expr("floor(t / 100)"), F.expr("floor(t / 10)")], "i")
     groups = defaultdict(list)
     for k, t in data:
         groups[k].append(t)
-    expected = {(k, t, i) for k, ts in groups.items() for i, t in enumerate(sorted(ts), 1)}
-    assert {tuple(r) for r in out.collect()} == expected and out.count() == len(data)
+    first = lambda t: (t is not None, t or 0)  # noqa: E731 - NULL first
+    expected = sorted(((k, t, i) for k, ts in groups.items() for i, t in enumerate(sorted(ts, key=first), 1)), key=repr)
+    assert sorted((tuple(r) for r in running_index(df, ["k"], ["t"], "i").collect()), key=repr) == expected
+
+
+def test_running_index_of_several_keys_and_descending_order(spark, rows, many_ranges):
+    df = spark.range(500).select((F.col("id") % 2).alias("a"), F.expr("CAST(id % 3 AS STRING)").alias("b"), "id")
+    out = running_index(df, ["a", "b"], [F.desc("id")], "n", ties=[])
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("a", "b").orderBy(F.desc("id"))))
+    assert rows(out) == rows(plain)
+    assert running_index(df.limit(0), ["a", "b"], ["id"], "n").columns == ["a", "b", "id", "n"]
+
+
+def test_runs_are_counted_across_batches():
+    names, numbers = ["x", "x", None, None, "y", "y", "y", "y"], [1, 1, 1, 1, 1, None, None, 2]
+    for cuts in ([], [0, 1], [3, 3, 5], [1, 2, 3, 4, 5, 6, 7]):
+        keys = pa.StructArray.from_arrays([pa.array(names), pa.array(numbers)], ["a", "b"])
+        batches = [keys.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, 8])]
+        assert [n for out in _count_runs(iter(batches)) for n in out.to_pylist()] == [1, 2, 1, 2, 1, 1, 2, 1]
 
 
 @quick
@@ -53,13 +84,13 @@ def test_moving_mean_matches_brute_force_at_chunk_borders(spark, values, size, c
         assert abs(got[(k, i)] - sum(last) / len(last)) < 1e-9
 
 
-def test_a_hot_key_is_spread_over_slices(spark):
-    """Two thirds of the rows share a key; no window partition may hold them all."""
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+@pytest.mark.parametrize("order", [["at", "id"], ["at"]])
+def test_a_third_of_all_rows_at_one_instant_of_one_key_is_dealt_out(spark, many_ranges, order):
+    df = spark.range(48_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 701).cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("at"), "id",
     )
-    out = running_index(df, ["k"], ["id"], [F.expr("id div 1000"), F.expr("id div 100")], "i")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k#" in plan and "_slice1" in plan.split("row_number()")[1]
-    hot = [r.i for r in out.filter("k = 'hot'").orderBy("id").collect()]
-    assert hot == list(range(1, len(hot) + 1))
+    sizes = [r["count"] for r in numbered_ranges(df, ["k"], order).groupBy("_part").count().collect()]
+    assert max(sizes) <= 2 * 48_000 / many_ranges
+    hot = [r.i for r in running_index(df, ["k"], order, "i").filter("k = 'hot'").orderBy("id").collect()]
+    assert sorted(hot) == list(range(1, 16_001))
