@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from matchloom.operators.joins import conflicts, orphans
-
 
 class ContractViolation(AssertionError):
-    """Raised under the fail-fast policy; the message lists the broken rules."""
+    """Raised under the fail-fast policy; the message lists the broken rules, ``counts`` all rules that were observed."""
+
+    def __init__(self, message: str, counts: Mapping[str, int] | None = None):
+        super().__init__(message)
+        self.counts = dict(counts or {})
 
 
 @dataclass(frozen=True)
@@ -103,15 +106,9 @@ def not_in(column: str, values: Sequence) -> Column:
     return ~F.col(column).isin(*values)
 
 
-def _groups(df: DataFrame, rules: Sequence[GroupRule]) -> DataFrame:
-    """All cardinality rules on the same keys, from one count per group."""
-    per_key = df.groupBy(*rules[0].keys).agg(F.count("*").alias("n"))
-    return _unpivot(per_key, [(rule.name, F.count_if(F.expr(rule.bad))) for rule in rules])
-
-
 def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
-    """One row (rule, violations) per aggregate."""
-    wide = df.agg(*[count.alias(f"r{i}") for i, (_, count) in enumerate(counts)])
+    """One row (rule, violations) per aggregate; those over no rows at all are 0."""
+    wide = df.agg(*[F.coalesce(count, F.lit(0)).alias(f"r{i}") for i, (_, count) in enumerate(counts)])
     entries = [
         F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").cast("bigint").alias("violations"))
         for i, (name, _) in enumerate(counts)
@@ -119,50 +116,151 @@ def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
     return wide.select(F.inline(F.array(*entries)))
 
 
-def _one(df: DataFrame, rule: Rule) -> DataFrame:
+KeyRule = UniqueRule | GroupRule | FrameDensityRule | DistinctPerGroupRule | ForeignKeyRule
+
+
+def _levels(rules: Sequence[KeyRule]) -> list[list[tuple[str, ...]]]:
+    """The key sets the rules look at, as chains in which each is part of the one before it."""
+    wanted = {tuple(rule.keys) for rule in rules}
+    wanted |= {(*rule.keys, rule.value) for rule in rules if isinstance(rule, DistinctPerGroupRule)}
+    chains: list[list[tuple[str, ...]]] = []
+    for keys in sorted(wanted, key=lambda k: (-len(k), k)):
+        if any(set(keys) == set(level) for chain in chains for level in chain):
+            continue
+        for chain in chains:
+            if set(keys) < set(chain[-1]):
+                chain.append(keys)
+                break
+        else:
+            chains.append([keys])
+    return chains
+
+
+def _roll_up(df: DataFrame, chain: Sequence[tuple[str, ...]], rules: Sequence[KeyRule]) -> DataFrame:
+    """All rules on the key sets of a chain, from one scan of the keys.
+
+    The rows are counted by the finest key set. Each coarser one is an aggregate of the groups before it, and sums what those
+    violated; so does the last step, which has one row.
+    """
+    indexes = sorted({rule.index for rule in rules if isinstance(rule, FrameDensityRule)})
+
+    def distinct(keys: tuple[str, ...], finer: tuple[str, ...] = ()) -> list[Column]:
+        asked = {r.value for r in rules if isinstance(r, DistinctPerGroupRule) and set(r.keys) == set(keys)}
+        return [
+            (F.count(v) if set(finer) == {*keys, v} else F.count_distinct(v)).alias(f"_values_{v}") for v in sorted(asked)
+        ]
+
+    grouped = df.groupBy(*chain[0]).agg(
+        F.count("*").alias("_n"), *distinct(chain[0]),
+        *[f(i).alias(f"_{f.__name__}_{i}") for i in indexes for f in (F.min, F.max)],
+    )
+    done: list[str] = []
+    for depth, keys in enumerate(chain):
+        if depth:
+            grouped = grouped.groupBy(*keys).agg(
+                F.sum("_n").alias("_n"), *distinct(keys, chain[depth - 1]),
+                *[f(f"_{f.__name__}_{i}").alias(f"_{f.__name__}_{i}") for i in indexes for f in (F.min, F.max)],
+                *[F.sum(f"_{name}").alias(f"_{name}") for name in done],
+            )
+        for rule in rules:
+            if set(rule.keys) != set(keys):
+                continue
+            grouped = grouped.withColumn(f"_{rule.name}", _group_violations(rule))
+            if isinstance(rule, ForeignKeyRule):
+                parent = rule.parent.select(*rule.keys).distinct().withColumn("_parent", F.lit(True))
+                grouped = grouped.join(parent, list(rule.keys), "left").withColumn(
+                    f"_{rule.name}", F.col("_parent").isNull().cast("bigint")
+                ).drop("_parent")
+            done.append(rule.name)
+    return _unpivot(grouped, [(name, F.sum(f"_{name}")) for name in done])
+
+
+def _group_violations(rule: KeyRule) -> Column:
+    """Violations of one group, from its number of rows ``_n`` and what was gathered besides."""
     if isinstance(rule, UniqueRule):
-        per_key = df.groupBy(*rule.keys).agg(F.count("*").alias("n"))
-        violations = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-    elif isinstance(rule, FrameDensityRule):
-        per_key = df.groupBy(*rule.keys).agg(
-            F.count("*").alias("n"), F.min(rule.index).alias("low"), F.max(rule.index).alias("high")
-        )
-        violations = F.count_if((F.col("low") != 1) | (F.col("high") != F.col("n")))
+        return F.col("_n") - 1
+    if isinstance(rule, GroupRule):
+        bad = F.expr(re.sub(r"\bn\b", "_n", rule.bad))
     elif isinstance(rule, DistinctPerGroupRule):
-        pairs = df.select(*rule.keys, rule.value).distinct()
-        per_key = pairs.groupBy(*rule.keys).agg(F.count(rule.value).alias("n"))
-        violations = F.count_if(F.expr(rule.bad))
-    elif isinstance(rule, ForeignKeyRule):
-        per_key, violations = orphans(df, rule.parent, rule.keys), F.count("*")
-    elif isinstance(rule, ConflictRule):
-        per_key, violations = conflicts(df, rule.other, rule.keys, rule.bad), F.count("*")
+        bad = F.expr(re.sub(r"\bn\b", f"_values_{rule.value}", rule.bad))
+    elif isinstance(rule, FrameDensityRule):
+        bad = (F.col(f"_min_{rule.index}") != 1) | (F.col(f"_max_{rule.index}") != F.col("_n"))
     else:
-        raise TypeError(f"unknown rule {rule!r}")
-    return _unpivot(per_key, [(rule.name, violations)])
+        bad = F.lit(False)
+    return F.when(bad, 1).otherwise(0).cast("bigint")
+
+
+def _conflicting(df: DataFrame, rules: Sequence[ConflictRule]) -> DataFrame:
+    """All conflicts with one other table over the same keys, from one join."""
+    joined = df.join(rules[0].other, list(rules[0].keys))
+    return _unpivot(joined, [(rule.name, F.count_if(rule.bad)) for rule in rules])
 
 
 def check(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Report ``(table_name, rule, violations)``.
 
-    All row-level rules of the table share one scan, and cardinality rules on
-    the same keys one aggregation; the others are one key-only pass each.
+    All row-level rules of the table share one scan. Rules on keys share one more, from which each set of keys is rolled up
+    (see ``_roll_up``), and one for each further set that is no part of the first. Conflicts with another table share one join.
     """
-    fused, grouped, parts = [], {}, []
+    fused: list[tuple[str, Column]] = []
+    keyed: list[KeyRule] = []
+    conflicting: dict[tuple, list[ConflictRule]] = {}
     for rule in rules:
         if isinstance(rule, RowRule):
             fused.append((rule.name, F.count_if(rule.bad)))
         elif isinstance(rule, NotEmptyRule):
             fused.append((rule.name, F.when(F.count("*") == 0, 1).otherwise(0)))
-        elif isinstance(rule, GroupRule):
-            grouped.setdefault(rule.keys, []).append(rule)
+        elif isinstance(rule, ConflictRule):
+            conflicting.setdefault((rule.keys, id(rule.other)), []).append(rule)
+        elif isinstance(rule, KeyRule):
+            keyed.append(rule)
         else:
-            parts.append(_one(df, rule))
-    if fused:
-        parts.insert(0, _unpivot(df, fused))
-    parts += [_groups(df, same_keys) for same_keys in grouped.values()]
+            raise TypeError(f"unknown rule {rule!r}")
+    parts = [_unpivot(df, fused)] if fused else []
+    for chain in _levels(keyed):
+        own = [rule for rule in keyed if any(set(rule.keys) == set(level) for level in chain)]
+        parts.append(_roll_up(df, chain, own))
+    parts += [_conflicting(df, same) for same in conflicting.values()]
     return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
+def observe_counts(df: DataFrame, counters: Mapping[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Count the rows that satisfy each condition while ``df`` is written, without a scan of its own.
+
+    Returns the DataFrame to write in place of ``df``, and a function that gives the counts once it is written.
+    """
+    if not counters:
+        return df, dict
+    observation = Observation()
+    counts = [F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(counters.values())]
+
+    def read() -> dict[str, int]:
+        found = observation.get
+        return {name: int(found[f"c{i}"]) for i, name in enumerate(counters)}
+
+    return df.observe(observation, *counts), read
+
+
+def observed(df: DataFrame, rules: Sequence[RowRule]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Count the violations of row-level rules while ``df`` is written (see ``observe_counts``)."""
+    return observe_counts(df, {rule.name: rule.bad for rule in rules})
+
+
+def settle_counts(table: str, counts: Callable[[], dict[str, int]], on_violation: str = "raise") -> dict[str, int]:
+    """The observed violations; under ``raise`` any of them stops the run."""
+    _known(on_violation)
+    found = counts()
+    broken = [f"{table}.{rule}: {n}" for rule, n in sorted(found.items()) if n]
+    if on_violation == "raise" and broken:
+        raise ContractViolation("; ".join(broken), found)
+    return found
+
+
+def _known(on_violation: str) -> None:
+    if on_violation not in ("raise", "report"):
+        raise ValueError("on_violation must be 'raise' or 'report'")
+
+
 def combine(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
@@ -177,8 +275,7 @@ def settle(
 
     The report has one row per rule, so looking at it costs the driver little.
     """
-    if on_violation not in ("raise", "report"):
-        raise ValueError("on_violation must be 'raise' or 'report'")
+    _known(on_violation)
     if on_violation == "report" and log is None:
         return report
     broken = [

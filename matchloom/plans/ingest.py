@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.documents import player_label
 from matchloom.operators.aggregates import outcome_counts
 from matchloom.operators.keys import top_n_by_key
+from matchloom.operators.quality import observe_counts
 from matchloom.operators.upsert import new_rows
 from matchloom.schemas import MATCHES_PER_PLAYER, RANKED_QUEUE
 
@@ -66,12 +67,28 @@ def to_fetch(match_ids: DataFrame, landed: DataFrame) -> DataFrame:
     return new_rows(match_ids, landed, ["match_id"])
 
 
-def fetch_outcomes(match_ids: DataFrame, landed: DataFrame, fetched: DataFrame) -> DataFrame:
-    """Counts of skipped, successful and failed documents."""
+OUTCOMES = ("skipped", "success", "failed")
+
+
+def marked_outcomes(match_ids: DataFrame, landed: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Each id with its ``status``: landed before, fetched now, or neither."""
     before = landed.select("match_id").distinct().withColumn("was_landed", F.lit(True))
     now = fetched.select("match_id").distinct().withColumn("was_fetched", F.lit(True))
     marked = match_ids.join(before, "match_id", "left").join(now, "match_id", "left")
     status = (
         F.when(F.col("was_landed"), "skipped").when(F.col("was_fetched"), "success").otherwise("failed")
     )
-    return outcome_counts(marked.withColumn("status", status), "status")
+    return marked.withColumn("status", status)
+
+
+def fetch_outcomes(match_ids: DataFrame, landed: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Counts of skipped, successful and failed documents."""
+    return outcome_counts(marked_outcomes(match_ids, landed, fetched), "status")
+
+
+def record_outcomes(match_ids: DataFrame, landed: DataFrame, fetched: DataFrame, path: str) -> dict[str, int]:
+    """Write the ids by status, and count them while they are written: no second scan, all three counts at once."""
+    marked = marked_outcomes(match_ids, landed, fetched).select("match_id", "status")
+    rows, counts = observe_counts(marked, {status: F.col("status") == status for status in OUTCOMES})
+    rows.write.mode("overwrite").partitionBy("status").parquet(path)
+    return counts()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,5 +90,10 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; one that is absent stays so."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    delete_paths(spark, [path])
+
+
+def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

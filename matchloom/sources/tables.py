@@ -1,62 +1,32 @@
-"""Stored tables: contracts, creation and partition-wise upsert.
+"""Stored tables: contracts, creation, and upserts that rewrite the files they touch.
 
-A table is a Parquet directory partitioned by ``bucket``, a stable hash of the
-first key column. A row's bucket never changes, so an upsert touches only the
-buckets its source falls into. The number of buckets is stored beside the table
-when it is created, and no later write may use another.
+A table is a folder of Parquet files, by extraction day where its contract has one. A change finds the files that hold
+its keys by a join with the hidden ``_metadata.file_path``, writes their other rows anew together with its own, and
+deletes them when that is done. All other files stay as they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from matchloom.operators.upsert import replace_group, upsert, upsert_newest
+from matchloom.operators.keys import latest_by_key
+from matchloom.operators.quality import RowRule, observed, settle_counts
+from matchloom.operators.upsert import replace_group
 from matchloom.schemas import TableContract
-from matchloom.session import delete_path, scratch, stage
-
-BUCKETS = 64
-
+from matchloom.session import delete_paths, scratch, stage
 
-def bucket_of(contract: TableContract, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(contract.key[0])), F.lit(buckets)).cast("int")
+DAY = "extraction_date"
 
 
 def table_path(root: str, contract: TableContract) -> str:
     return f"{root.rstrip('/')}/{contract.layer}/{contract.name}"
 
 
-def layout_path(root: str, contract: TableContract) -> str:
-    return f"{root.rstrip('/')}/{contract.layer}/_layout/{contract.name}"
-
-
-def bucket_count(spark: SparkSession, root: str, contract: TableContract, wanted: int | None = None) -> int:
-    """The bucket count of a stored table, or of a new one, which is written down.
-
-    Raises if another count is ``wanted``: keys would be looked for in the wrong buckets.
-    """
-    path = layout_path(root, contract)
-    try:
-        known = spark.read.schema("buckets int").json(path).head()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = None
-    if known is None:
-        stored = _stored(spark, root, contract)  # a table from before the count was written down
-        other = F.col("bucket") != bucket_of(contract, wanted or BUCKETS)
-        if stored is not None and not stored.filter(other).isEmpty():
-            raise ValueError(f"{contract.name} is not stored in {wanted or BUCKETS} buckets")
-        known = spark.createDataFrame([(wanted or BUCKETS,)], "buckets int")
-        known.coalesce(1).write.mode("overwrite").json(path)
-        return wanted or BUCKETS
-    if wanted not in (None, known.buckets):
-        raise ValueError(f"{contract.name} is stored in {known.buckets} buckets, not {wanted}")
-    return known.buckets
-
-
 def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
@@ -74,10 +44,16 @@ def create_table(
     )
 
 
+def _files(spark: SparkSession, contract: TableContract, *paths: str, base: str | None = None) -> DataFrame:
+    reader = spark.read.schema(contract.schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return reader.parquet(*paths)
+
+
 def _stored(spark: SparkSession, root: str, contract: TableContract) -> DataFrame | None:
     try:
-        layout = T.StructType([*contract.schema.fields, T.StructField("bucket", T.IntegerType())])
-        return spark.read.schema(layout).parquet(table_path(root, contract))
+        return _files(spark, contract, table_path(root, contract))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -91,93 +67,97 @@ def read_table(spark: SparkSession, root: str, contract: TableContract) -> DataF
     return stored.select(*contract.columns)
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    # Rebalancing puts a bucket's rows together and splits a bucket that is too large.
-    (
-        df.hint("rebalance", "bucket")
-        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket").parquet(path)
-    )
+def _add_files(rows: DataFrame, path: str, contract: TableContract) -> None:
+    """Write rows as new files. Rebalancing gathers a day's rows and splits a day that is too large."""
+    if DAY in contract.columns:
+        rows.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+    else:
+        rows.hint("rebalance").write.mode("append").parquet(path)
+
+
+def touched_files(stored: DataFrame, keys: DataFrame, on: Sequence[str]) -> list[str]:
+    """The files of a stored table that hold any of the keys: a scan of the key columns, and one name per file found."""
+    placed = stored.select(*on, F.col("_metadata.file_path").alias("_file"))
+    found = placed.join(keys.select(*on).distinct(), list(on), "left_semi").select("_file").distinct()
+    return _plain([r["_file"] for r in found.collect()])
+
+
+def _plain(uris: Sequence[str]) -> list[str]:
+    """Paths as readers take them; Spark names files as URIs, with blanks and the like escaped."""
+    return [unquote(uri) for uri in uris]
+
+
+def _swap(rows: DataFrame, old: Sequence[str], path: str, contract: TableContract) -> None:
+    """New files first, then the old ones go: a driver that dies in between leaves rows twice, never none.
+
+    Rows left twice are put right by the next change that touches them, as both files hold its keys.
+    """
+    _add_files(rows, path, contract)
+    delete_paths(rows.sparkSession, old)
 
 
 def write_upsert(
     source: DataFrame,
     contract: TableContract,
     root: str,
-    buckets: int | None = None,
     group: tuple[str, ...] | None = None,
     newest_wins: bool = False,
-) -> None:
+    rules: Sequence[RowRule] = (),
+    on_violation: str = "raise",
+) -> dict[str, int]:
     """Upsert ``source``, one row per key, into the stored table.
 
-    Only buckets the source falls into are read. Those that hold a key of the
-    source are rewritten; all other source rows are appended. A repeated run finds its own keys and
-    rewrites them with the same values. With ``group`` whole groups (a prefix
-    of the key) are replaced instead of single keys. With ``newest_wins`` a
-    stored row with a later extraction date is kept.
-    """
-    spark = source.sparkSession
-    path = table_path(root, contract)
-    buckets = bucket_count(spark, root, contract, buckets)
-    rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
-    stored = _stored(spark, root, contract)
-    if stored is None:
-        _write(rows, path, "overwrite")
-        return
+    Files that hold none of its keys are neither rewritten nor, but for their key columns, read. A repeated run finds its own
+    keys and rewrites them with the same values. With ``group`` whole groups (a prefix of the key) are replaced
+    instead of single keys. With ``newest_wins`` a stored row with a later extraction date is kept.
 
+    Violations of ``rules`` by the source are counted while it is staged, which takes no scan of its own, and returned. Under
+    ``raise`` they stop the upsert before any file of the table changes.
+    """
+    spark, path = source.sparkSession, table_path(root, contract)
     with scratch(spark):
+        rows, counts = observed(contract.conform(source), rules)
         rows = stage(rows, contract.name)
-        stored = stored.filter(F.col("bucket").isin(*_values(rows)))
+        violations = settle_counts(f"{contract.layer}_{contract.name}", counts, on_violation)
+        stored = _stored(spark, root, contract)
+        if stored is None:
+            _add_files(rows, path, contract)
+            return violations
         on = list(group or contract.key)
-        met = stored.join(rows.select("bucket", *on), ["bucket", *on], "left_semi")
-        touched = _values(met)
-        if touched:
-            in_touched = F.col("bucket").isin(*touched)
-            target, update = stored.filter(in_touched), rows.filter(in_touched)
-            merge = replace_group if group else upsert_newest if newest_wins else upsert
-            # Dynamic overwrite swaps the buckets only once all of them are written, so
-            # the job may read the buckets it replaces.
-            _write(merge(target, update, on), path, "overwrite")
-            rows = rows.filter(~in_touched)
-        _write(rows, path, "append")
-
-
-def write_all(source: DataFrame, contract: TableContract, root: str, buckets: int | None = None) -> None:
+        touched = touched_files(stored, rows, on)
+        if not touched:
+            _add_files(rows, path, contract)
+            return violations
+        target = _files(spark, contract, *touched, base=path).select(*rows.columns)
+        if group:
+            merged = replace_group(target.dropDuplicates(list(contract.key)), rows, on)
+        elif newest_wins:
+            merged = latest_by_key(target.unionByName(rows), on)
+        else:
+            both = target.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
+            merged = latest_by_key(both, on, ["_new"], ties=[]).drop("_new")
+        _swap(merged, touched, path, contract)
+        return violations
+
+
+def write_all(source: DataFrame, contract: TableContract, root: str) -> None:
     """Replace the whole stored table, which ``source`` must not be read from."""
-    buckets = bucket_count(source.sparkSession, root, contract, buckets)
-    rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
-    (
-        rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("bucket").parquet(table_path(root, contract))
-    )
+    stored = _stored(source.sparkSession, root, contract)
+    old = [] if stored is None else _plain(stored.inputFiles())
+    _swap(contract.conform(source), old, table_path(root, contract), contract)
 
 
-def write_replace(
-    source: DataFrame, scope: DataFrame, contract: TableContract, root: str, buckets: int | None = None
-) -> None:
+def write_replace(source: DataFrame, scope: DataFrame, contract: TableContract, root: str) -> None:
     """Replace the rows of all keys in ``scope`` by those of ``source``.
 
     ``scope`` has the first key column. Its keys lose their stored rows even where ``source`` has none for them;
-    ``source`` has rows of these keys only. Buckets without such a key are not read.
+    ``source`` has rows of these keys only. Files without such a key stay as they are.
     """
-    spark, first = source.sparkSession, contract.key[0]
-    buckets = bucket_count(spark, root, contract, buckets)
-    if _stored(spark, root, contract) is None:
-        write_upsert(source, contract, root, buckets)
-        return
-    with scratch(spark):
-        scope = stage(scope.select(first).distinct().withColumn("bucket", bucket_of(contract, buckets)), "scope")
-        rows = contract.conform(source).withColumn("bucket", bucket_of(contract, buckets))
-        touched = _values(scope)
-        stored = _stored(spark, root, contract).filter(F.col("bucket").isin(*touched))
-        kept = stored.join(scope, ["bucket", first], "left_anti").select(*rows.columns)
-        result = stage(kept.unionByName(rows), contract.name)
-        _write(result, table_path(root, contract), "overwrite")
-        emptied = set(touched) - set(_values(result))
-        for bucket in emptied:  # an overwrite by partition leaves those without a row as they were
-            delete_path(spark, f"{table_path(root, contract)}/bucket={bucket}")
-
-
-def _values(df: DataFrame) -> list[int]:
-    """The buckets that occur: at most as many small integers as there are buckets."""
-    return [r.bucket for r in df.select("bucket").distinct().collect()]
+    spark, first, path = source.sparkSession, contract.key[0], table_path(root, contract)
+    rows = contract.conform(source)
+    stored = _stored(spark, root, contract)
+    touched = [] if stored is None else touched_files(stored, scope, [first])
+    if touched:
+        target = _files(spark, contract, *touched, base=path).select(*rows.columns).dropDuplicates(list(contract.key))
+        rows = target.join(scope.select(first), first, "left_anti").select(*rows.columns).unionByName(rows)
+    _swap(rows, touched, path, contract)

@@ -55,7 +55,6 @@ def upsert_stream(
     contract: TableContract,
     root: str,
     checkpoint: str,
-    buckets: int | None = None,
 ) -> StreamingQuery:
     """Upsert the rows ``build`` derives from each micro-batch.
 
@@ -63,7 +62,7 @@ def upsert_stream(
     order of the batches nor a retried batch changes the table.
     """
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        write_upsert(build(batch), contract, root, buckets, newest_wins=True)
+        write_upsert(build(batch), contract, root, newest_wins=True)
 
     return (
         documents.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

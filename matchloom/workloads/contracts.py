@@ -6,15 +6,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import functions as F
 
-from matchloom.operators.quality import check, combine, settle
+from matchloom.operators.quality import ContractViolation, RowRule, check, combine, not_in, settle
 from matchloom.plans.pipeline import Lakehouse, amend_silver, run_gold, run_silver, validate
 from matchloom.plans.validation import (
     gold_references, gold_rules, silver_references, silver_rules, validate_gold, validate_silver,
 )
-from matchloom.schemas import BRONZE, GOLD, SILVER
+from matchloom.schemas import BRONZE, GOLD, MIN_GAME_SECONDS, SILVER, TEAM_IDS
 from matchloom.session import shared_dir
 from matchloom.sources.landing import load_bronze
-from matchloom.sources.tables import table_path
+from matchloom.sources.tables import read_table, table_path, write_upsert
 from matchloom.workloads.inputs import Layers
 from matchloom.workloads.lakehouse_sql import over_lakehouse
 from matchloom.workloads.registry import query
@@ -200,7 +200,6 @@ def silver_validation(spark, sf):
 
 
 @query("tbl_gold_validation", _report_sql([f"gold_{t}" for t in GOLD]))
-@query("dq_policy", _report_sql([f"gold_{t}" for t in GOLD]))
 def gold_validation(spark, sf):
     """All gold rules under the policy that reports and goes on."""
     layers = Layers(spark, sf)
@@ -208,6 +207,63 @@ def gold_validation(spark, sf):
     return settle(validate_gold({t: layers.gold(t) for t in GOLD}, silver), on_violation="report")
 
 
+_STORED = "count(*) AS n, count_if(team_id NOT IN (100, 200) OR game_duration_seconds < 300) AS bad"
+
+
+@query(
+    "dq_policy",
+    over_lakehouse(
+        f"""WITH batch AS (
+                SELECT * REPLACE (CASE WHEN coalesce(win, FALSE) THEN 300 ELSE team_id END AS team_id,
+                                  CASE WHEN coalesce(win, FALSE) THEN game_duration_seconds ELSE 100 END AS game_duration_seconds)
+                FROM gold_team_stats WHERE team_id = 100
+            ), counted AS (
+                SELECT 'dq_pk_not_null' AS rule, count_if(match_id IS NULL OR team_id IS NULL) AS violations FROM batch
+                UNION ALL SELECT 'dq_team_domain', count_if(team_id NOT IN (100, 200)) FROM batch
+                UNION ALL SELECT 'dq_no_remake', count_if(game_duration_seconds < 300) FROM batch
+            ), stored AS (
+                SELECT 'raise' AS policy, TRUE AS stopped, {_STORED} FROM gold_team_stats
+                UNION ALL
+                SELECT 'report', FALSE, {_STORED} FROM (
+                    SELECT match_id, team_id, game_duration_seconds FROM batch
+                    UNION ALL
+                    SELECT match_id, team_id, game_duration_seconds FROM gold_team_stats
+                    WHERE team_id <> 100 OR coalesce(win, FALSE))
+            )
+            SELECT policy, stopped, rule, CAST(violations AS BIGINT) AS violations, n AS stored_rows,
+                   CAST(bad AS BIGINT) AS stored_bad_rows
+            FROM stored CROSS JOIN counted"""
+    ),
+)
+def policy(spark, sf):
+    """A batch that breaks rules meets a stored table: ``raise`` stops before the table changes, ``report`` goes on.
+
+    Violations are counted while the batch is written, so under either policy it is scanned once.
+    """
+    contract, root = GOLD["team_stats"], shared_dir(spark, "lake")
+    good = Layers(spark, sf).gold("team_stats")
+    won = F.coalesce("win", F.lit(False))
+    batch = good.filter("team_id = 100").withColumns({
+        "team_id": F.when(won, 300).otherwise(F.col("team_id")),
+        "game_duration_seconds": F.when(won, F.col("game_duration_seconds")).otherwise(100),
+    })
+    rules = [r for r in gold_rules("team_stats") if isinstance(r, RowRule)]
+    write_upsert(good, contract, root, rules=rules)
+    lines = []
+    for on_violation in ("raise", "report"):
+        stopped = False
+        try:
+            counts = write_upsert(batch, contract, root, rules=rules, on_violation=on_violation)
+        except ContractViolation as violation:
+            stopped, counts = True, violation.counts
+        bad = not_in("team_id", TEAM_IDS) | (F.col("game_duration_seconds") < MIN_GAME_SECONDS)
+        stored = read_table(spark, root, contract).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad")).head()
+        lines += [(on_violation, stopped, rule, n, stored.n, stored.bad) for rule, n in counts.items()]
+    return spark.createDataFrame(
+        lines, "policy string, stopped boolean, rule string, violations long, stored_rows long, stored_bad_rows long"
+    )
+
+
 MEASURES = {
     "team_stats": "baron_kills", "player_performance": "gold_earned", "draft": "draft_order",
     "player_frames_indexed": "total_gold",
@@ -234,7 +290,7 @@ def pipeline(spark, sf):
 
     Rows of the tables by key with a measure, then the report.
     """
-    layers, lake = Layers(spark, sf), Lakehouse(spark, shared_dir(spark, "lake"), buckets=4)
+    layers, lake = Layers(spark, sf), Lakehouse(spark, shared_dir(spark, "lake"))
     for entity in ("accounts", "matches", "timelines"):
         load_bronze(layers.bronze(entity), table_path(lake.root, BRONZE[entity]))
     rejected = run_silver(lake)

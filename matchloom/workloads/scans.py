@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.operators import upsert as u
-from matchloom.plans.ingest import fetch_outcomes, to_fetch
+from matchloom.plans.ingest import record_outcomes, to_fetch
 from matchloom.schemas import SILVER, TableContract
 from matchloom.session import shared_dir
 from matchloom.sources import landing as l
@@ -236,12 +236,12 @@ def upsert_all(spark, sf):
 
 @query("sink_upsert_stored", UPSERTED_SQL)
 def upsert_stored(spark, sf):
-    """The same through a stored, bucketed table; the second upsert is run twice."""
+    """The same through a stored table; the second upsert is run twice."""
     target, source = _sides(spark, sf)
     contract = TableContract("silver", "orders", target.schema, ("o_orderkey",))
     root = shared_dir(spark, "lake")
     for rows in (target, source, source):
-        write_upsert(rows, contract, root, buckets=4)
+        write_upsert(rows, contract, root)
     return read_table(spark, root, contract)
 
 
@@ -332,7 +332,9 @@ def skip_existing(spark, sf):
        FROM orders GROUP BY 1""",
 )
 def outcomes(spark, sf):
+    """Counted while the ids are written by status."""
     layers = Layers(spark, sf)
     ids = layers.table("orders").select(F.col("o_orderkey").alias("match_id"))
     lines = layers.table("lineitem").select(F.col("l_orderkey").alias("match_id"), "l_linestatus")
-    return fetch_outcomes(ids, lines.filter("l_linestatus = 'F'"), lines)
+    counts = record_outcomes(ids, lines.filter("l_linestatus = 'F'"), lines, shared_dir(spark, "outcomes"))
+    return spark.createDataFrame([(status, n) for status, n in counts.items() if n], "status string, n long")

@@ -55,7 +55,7 @@ def foreach_upsert(spark, sf):
     documents = stream_documents(spark, base, "timelines", whole_file=False, glob="*.txt", max_files=20)
     upsert_stream(
         documents, lambda batch: s.timeline_frames(s.parsed_timelines(batch)), contract, root,
-        shared_dir(spark, "checkpoint"), buckets=4,
+        shared_dir(spark, "checkpoint"),
     ).awaitTermination()
     return read_table(spark, root, contract).select(
         "match_id", "participant_id", "timestamp_ms", "total_gold", "extraction_date"

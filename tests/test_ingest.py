@@ -43,10 +43,14 @@ def test_new_ids_go_to_the_first_player_of_the_roster(spark, rows):
     assert rows(ingest.new_ids_per_player(lists, "ord", "player")) == [("a", 1), ("b", 1)]
 
 
-def test_only_missing_documents_are_fetched_per_entity(spark, rows):
+def test_only_missing_documents_are_fetched_per_entity(spark, rows, tmp_path):
     ids = spark.createDataFrame([("A",), ("B",), ("C",)], "match_id string")
     matches, timelines = ids.filter("match_id = 'A'"), ids.filter("match_id = 'B'")
     assert rows(ingest.to_fetch(ids, matches)) == [("B",), ("C",)]
     assert rows(ingest.to_fetch(ids, timelines)) == [("A",), ("C",)]
     assert rows(ingest.fetch_outcomes(ids, matches, ids.filter("match_id = 'B'"))) == [
         ("failed", 1), ("skipped", 1), ("success", 1)]
+    path = str(tmp_path / "outcomes")
+    assert ingest.record_outcomes(ids, matches, ids.filter("match_id = 'B'"), path) == {"skipped": 1, "success": 1, "failed": 1}
+    assert rows(spark.read.parquet(path), "match_id", "status") == [("A", "skipped"), ("B", "success"), ("C", "failed")]
+    assert ingest.record_outcomes(ids.limit(0), matches, matches, path) == {"skipped": 0, "success": 0, "failed": 0}

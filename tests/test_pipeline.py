@@ -56,26 +56,26 @@ def contents(spark, root):
 
 def test_a_run_a_second_run_and_a_clean_report(spark, tmp_path, landing):
     root = str(tmp_path / "lake")
-    report = run(spark, str(landing), root, D1, buckets=4, on_violation="raise")
+    report = run(spark, str(landing), root, D1, on_violation="raise")
     assert {(r.table_name, r.rule, r.violations) for r in report.filter("violations > 0").collect()} == {
         ("bronze_matches", "rejected_documents", 1)}  # the broken file
     first = contents(spark, root)
     assert {t: len(first[t]) for t in GOLD} == {
         "team_stats": 2, "player_performance": 10, "draft": 13, "player_frames_indexed": 30}
     assert len(first["matches"]) == 2 and len(first["timeline_events"]) == 3
-    run(spark, str(landing), root, D1, buckets=4)
+    run(spark, str(landing), root, D1)
     assert contents(spark, root) == first
 
 
 def test_a_later_day_updates_and_adds_without_deleting(spark, tmp_path, landing):
     root = str(tmp_path / "lake")
-    run(spark, str(landing), root, D1, buckets=4)
+    run(spark, str(landing), root, D1)
     teams = [team(100, False), team(200, True)]
     put(landing, "accounts", D2, "accounts.json", json.dumps([{"puuid": "p1", "game_name": "renamed"}]))
     put(landing, "matches", D2, "A.json", match("A", teams, ten(kills=9)))
     put(landing, "matches", D2, "C.json", match("C", teams, ten()))
     put(landing, "timelines", D2, "C_timeline.json", timeline("C", frames(2)))
-    run(spark, str(landing), root, D2, buckets=4)
+    run(spark, str(landing), root, D2)
     performance = read_table(spark, root, GOLD["player_performance"])
     assert performance.count() == 20
     assert {r.kills for r in performance.filter("match_id = 'A'").collect()} == {9}
@@ -88,7 +88,7 @@ def test_partial_gold_builds_equal_a_full_build(spark, tmp_path, landing):
     put(landing, "accounts", D2, "accounts.json", "[]")
     put(landing, "matches", D2, "C.json", match("C", [team(100, True), team(200, False)], ten()))
     put(landing, "timelines", D2, "C_timeline.json", timeline("C", frames(2)))
-    whole, parts = (Lakehouse(spark, str(tmp_path / n), 4) for n in ("whole", "parts"))
+    whole, parts = (Lakehouse(spark, str(tmp_path / n)) for n in ("whole", "parts"))
     run_bronze(whole, str(landing))
     run_silver(whole)
     run_gold(whole)
@@ -103,7 +103,7 @@ def test_fail_fast_policy(spark, tmp_path, landing):
     put(landing, "matches", D1, "odd.json", match("ODD", [team(300, True)], ten()))
     lines = []
     with pytest.raises(ContractViolation, match="silver_match_teams.dq_team_domain: 1"):
-        run(spark, str(landing), str(tmp_path / "lake"), D1, buckets=2, on_violation="raise", log=lines.append)
+        run(spark, str(landing), str(tmp_path / "lake"), D1, on_violation="raise", log=lines.append)
     assert any("dq_two_teams" in line for line in lines)
 
 
@@ -168,11 +168,11 @@ def test_stream_and_batch_share_a_bronze_table_in_any_order(spark, tmp_path, lan
 def test_nothing_staged_stays_after_a_run_or_a_stream(spark, tmp_path, landing):
     folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
     before = set(folder.glob("stage-*"))
-    report = run(spark, str(landing), str(tmp_path / "lake"), buckets=2)
-    run(spark, str(landing), str(tmp_path / "lake"), D1, buckets=2, gold_since=D1)
+    report = run(spark, str(landing), str(tmp_path / "lake"))
+    run(spark, str(landing), str(tmp_path / "lake"), D1, gold_since=D1)
     upsert_stream(stream_documents(spark, str(landing), "matches", max_files=1),
                   lambda b: s.matches(s.parsed_matches(b)), SILVER["matches"], str(tmp_path / "other"),
-                  str(tmp_path / "checkpoint"), 2).awaitTermination()
+                  str(tmp_path / "checkpoint")).awaitTermination()
     assert set(folder.glob("stage-*")) == before
     assert report.count() > 0
 
@@ -186,12 +186,12 @@ def test_id_lists_are_loaded_where_they_land(spark, tmp_path, landing):
 
 def test_a_run_fills_participant_ids_that_stored_rows_lack(spark, tmp_path, landing):
     root, contract = str(tmp_path / "lake"), SILVER["match_participants"]
-    run(spark, str(landing), root, D1, buckets=2)
+    run(spark, str(landing), root, D1)
     first = contents(spark, root)
     stored = read_table(spark, root, contract)
     emptied = spark.createDataFrame([(*r[:2], None, *r[3:]) for r in stored.collect()], contract.schema)
-    write_upsert(emptied, contract, root, 2)
-    amend_silver(Lakehouse(spark, root, 2))
+    write_upsert(emptied, contract, root)
+    amend_silver(Lakehouse(spark, root))
     assert contents(spark, root) == first
 
 
@@ -200,7 +200,7 @@ def test_stream_upsert_keeps_the_latest_extraction_in_any_order(spark, tmp_path,
 
     def load():
         upsert_stream(stream_documents(spark, str(landing), "matches", max_files=1),
-                      lambda b: s.matches(s.parsed_matches(b)), contract, root, checkpoint, 2).awaitTermination()
+                      lambda b: s.matches(s.parsed_matches(b)), contract, root, checkpoint).awaitTermination()
         return {r.match_id: r.game_duration_seconds for r in read_table(spark, root, contract).collect()}
 
     put(landing, "matches", D2, "A.json", match("A", duration=2000))
@@ -213,7 +213,7 @@ def test_an_older_day_loaded_second_changes_nothing_newer(spark, tmp_path, landi
     root = str(tmp_path / "lake")
     put(landing, "matches", D2, "A.json", match("A", [team(100, False), team(200, True)], ten(kills=9)))
     for day in (D2, D1):
-        run(spark, str(landing), root, day, buckets=4)
+        run(spark, str(landing), root, day)
     participants = read_table(spark, root, SILVER["match_participants"]).filter("match_id = 'A'")
     assert {r.kills for r in participants.collect()} == {9}
 
@@ -221,9 +221,9 @@ def test_an_older_day_loaded_second_changes_nothing_newer(spark, tmp_path, landi
 @pytest.mark.parametrize("since", [None, D2])
 def test_a_match_that_no_longer_counts_leaves_gold(spark, tmp_path, landing, since):
     root = str(tmp_path / "lake")
-    run(spark, str(landing), root, D1, buckets=4)
+    run(spark, str(landing), root, D1)
     put(landing, "matches", D2, "A.json", match("A", [team(100, True), team(200, False)], ten(), duration=120))
-    run(spark, str(landing), root, D2, buckets=4, gold_since=since)
+    run(spark, str(landing), root, D2, gold_since=since)
     assert {t: read_table(spark, root, c).count() for t, c in GOLD.items()} == dict.fromkeys(GOLD, 0)
 
 
@@ -232,11 +232,11 @@ def test_older_matches_of_a_newly_tracked_player_reach_a_partial_build(spark, tm
     teams = [team(100, True), team(200, False)]
     people = [*ten()[:9], player("late", 10, teamId=200, championId=10, championName="C10")]
     put(landing, "matches", D1, "C.json", match("C", teams, people))
-    run(spark, str(landing), root, D1, buckets=4)
+    run(spark, str(landing), root, D1)
     performance = lambda: read_table(spark, root, GOLD["player_performance"])
     assert performance().filter("puuid = 'late'").count() == 0
     before = performance().count()
     put(landing, "accounts", D2, "accounts.json", json.dumps([{"puuid": "late", "game_name": "late"}]))
-    run(spark, str(landing), root, D2, buckets=4, gold_since=D2)
+    run(spark, str(landing), root, D2, gold_since=D2)
     assert performance().filter("puuid = 'late'").count() == 1
     assert performance().count() == before + 1

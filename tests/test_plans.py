@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators.joins import enrich, restrict
-from matchloom.operators.keys import latest_by_key
-from matchloom.plans import gold as g
+from matchloom.operators.keys import latest_by_key, running_index
 from matchloom.plans import silver as s
 from matchloom.workloads.inputs import Layers
 
@@ -91,9 +90,10 @@ def test_a_hot_key_is_split_over_tasks(spark, no_broadcast, how):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_numbering_reads_the_counts_once(layers):
-    frames = g.player_frames_indexed(
-        layers.silver("timeline_frames"), layers.silver("match_participants"), layers.silver("matches"), unique=True
-    )
-    frames.collect()
-    assert "ReusedExchange" in plan(frames)
+def test_numbering_shuffles_its_rows_once(layers):
+    """What follows the numbered ranges moves only one row per range."""
+    frames = layers.silver("timeline_frames")
+    text = plan(running_index(frames, ["match_id", "participant_id"], ["timestamp_ms"], "n", ties=[]))
+    assert text.count("BroadcastExchange") == 1 and "SortMergeJoin" not in text
+    ranged = plan(frames.repartitionByRange("match_id", "timestamp_ms").sortWithinPartitions("match_id", "timestamp_ms"))
+    assert ranged.count("Exchange") == 1

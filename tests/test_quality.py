@@ -1,15 +1,19 @@
 """Every rule with an input that keeps it and one that breaks it."""
 
 import datetime as dt
+import random
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators.quality import (
-    ContractViolation, FrameDensityRule, NotEmptyRule, RowRule, UniqueRule, check, not_in, pk_not_null, settle,
+    ContractViolation, DistinctPerGroupRule, ForeignKeyRule, FrameDensityRule, GroupRule, NotEmptyRule, RowRule, UniqueRule,
+    check, not_in, observe_counts, pk_not_null, settle,
 )
 from matchloom.plans.validation import gold_references, gold_rules, silver_references, silver_rules
 from matchloom.schemas import GOLD, SILVER
+from matchloom.workloads.inputs import Layers
 
 
 @pytest.fixture
@@ -126,6 +130,55 @@ def test_row_rules_share_one_scan(spark):
     assert violations(report) == {"dq_not_empty": 0, "dq_pk_not_null": 1, "neg": 0}
 
 
+@pytest.mark.parametrize("layer", ["silver", "gold"])
+def test_all_rules_of_a_table_take_at_most_three_scans_of_it(spark, layer):
+    layers, length = Layers(spark, "/root/testdata/sf0.001"), "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(length)
+    spark.conf.set(length, "2000")
+    silver = {t: layers.silver(t) for t in SILVER}
+    tables = silver if layer == "silver" else {t: layers.gold(t) for t in GOLD}
+    for name, df in tables.items():
+        own, references = (silver_rules, silver_references) if layer == "silver" else (gold_rules, gold_references)
+        report = check(name, df, own(name) + references(silver).get(name, []))
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        scans = sum(path.split("/")[-1] in line for line in plan.splitlines() if "FileScan" in line)
+        assert 1 <= scans <= 3, name
+    spark.conf.set(length, before)
+
+
+def test_rules_on_several_key_sets_are_rolled_up_together(spark):
+    """Against the same rules one by one, on rows with NULL keys, repeated rows and gaps."""
+    rng = random.Random(8)
+    data = [(rng.choice("ab") if rng.random() < 0.9 else None, rng.choice([1, 2, None]), rng.randrange(1, 4)) for _ in range(60)]
+    df = spark.createDataFrame(data, "m string, p int, i int")
+    parents = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "m string, p int")
+    rules = [
+        UniqueRule("unique", ("m", "p", "i")), GroupRule("many", ("m",), "n > 20"), FrameDensityRule("dense", ("m", "p"), "i"),
+        DistinctPerGroupRule("two", ("m",), "p", "n <> 2"), DistinctPerGroupRule("three", ("p",), "i", "n <> 3"),
+        ForeignKeyRule("fk", ("m", "p"), parents), ForeignKeyRule("fk_m", ("m",), parents.select("m")),
+        GroupRule("few", ("p",), "n < 25"),
+    ]
+    together = violations(check("x", df, rules))
+    assert together == {k: v for rule in rules for k, v in violations(check("x", df, [rule])).items()}
+    groups = defaultdict(list)
+    for m, p, i in data:
+        groups[m, p].append(i)
+    assert together["unique"] == len(data) - len(set(data))
+    assert together["dense"] == sum(min(x) != 1 or max(x) != len(x) for x in groups.values())
+    assert together["fk"] == sum(key != ("a", 1) for key in groups)
+    assert together["fk_m"] == len({m for m, _ in groups} - {"a"})
+    assert together["two"] == sum(len({p for n, p in groups if n == m and p is not None}) != 2 for m in {m for m, _ in groups})
+
+
+def test_counts_are_observed_while_rows_are_written(spark, tmp_path):
+    df, counts = observe_counts(spark.range(10), {"even": F.col("id") % 2 == 0, "none": F.col("id") > 99})
+    df.write.parquet(str(tmp_path / "x"))
+    assert counts() == {"even": 5, "none": 0}
+    same, nothing = observe_counts(df, {})
+    assert same is df and nothing() == {}
+
+
 def test_empty_tables_violate_nothing_but_emptiness(spark):
     df = spark.createDataFrame([], "a int, i int")
     report = check("x", df, [NotEmptyRule(), UniqueRule("u", ("a",)), FrameDensityRule("d", ("a",), "i")])
