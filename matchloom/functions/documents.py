@@ -17,6 +17,26 @@ def parse(df: DataFrame, schema: T.DataType | str, raw: str = "raw_json", into:
     return df.select(F.from_json(raw, schema).alias(into), *others)
 
 
+CORRUPT = "_corrupt"
+
+
+def parse_or_reject(df: DataFrame, schema: T.StructType, key: str, raw: str = "raw_json", into: str = "data") -> DataFrame:
+    """Like ``parse``, with ``reject``: NULL, or the raw text and the ``reason`` why the document has no key.
+
+    One parse gives both. Documents with a key that are wrong in some field keep it, with NULL in that field.
+    """
+    others = [c for c in df.columns if c != raw]
+    shape = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = df.select(F.from_json(raw, shape, {"columnNameOfCorruptRecord": CORRUPT}).alias(into), raw, *others)
+    reason = (
+        F.when(F.length(F.trim(F.coalesce(raw, F.lit("")))) == 0, "empty document")
+        .when(F.col(f"{into}.{CORRUPT}").isNotNull(), "malformed JSON")
+        .otherwise(f"no {key.split('.')[-1]}")
+    )
+    reject = F.when(F.col(f"{into}.{key}").isNull(), F.struct(F.col(raw), reason.alias("reason")))
+    return parsed.select(into, reject.alias("reject"), *others)
+
+
 def parse_fragment(raw: Column | str, path: str, ddl: str) -> Column:
     """Typed value of one JSON path, for readers that need just a corner of the document."""
     return F.from_json(F.get_json_object(raw, path), ddl)

@@ -23,14 +23,21 @@ def _orderable(df: DataFrame, skip: set[str]) -> list[Column]:
 
 
 def top_n_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None, parts: int = 64
 ) -> DataFrame:
     """The first ``n`` rows of each key in a total order.
 
     The rank filter makes Spark drop all but ``n`` rows per key before the
-    shuffle as well as after it, so a hot key sends at most ``n`` rows per task.
+    shuffle as well as after it, so a hot key sends at most ``n`` rows per task. Spark does so up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows. Above that the rows of a key are first cut to ``n`` in each of ``parts``
+    parts, dealt by a hash of the row, so no task sees more than its part of a hot key, and then ``parts`` x ``n`` rows of it.
     """
     number = rank or "_rn"
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        hashed = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(parts)))
+        within = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = dealt.withColumn("_first", F.row_number().over(within)).filter(F.col("_first") <= n).drop("_salt", "_first")
     ranked = df.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(number) <= n)
     return kept if rank else kept.drop(number)

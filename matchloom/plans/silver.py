@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.documents import (
-    explode_children, explode_map, first_where, from_epoch_ms, minute_of, parse, parse_fragment,
+    explode_children, explode_map, first_where, from_epoch_ms, minute_of, parse, parse_fragment, parse_or_reject,
 )
 from matchloom.functions.metrics import kda
 from matchloom.operators.keys import latest_by_key, top_n_by_key
@@ -37,10 +37,10 @@ def _finish(df: DataFrame, table: str) -> DataFrame:
 
 
 def parsed_matches(bronze: DataFrame) -> DataFrame:
-    """(match_id, info, extraction_date) of match documents.
+    """(match_id, info, extraction_date, reject) of match documents.
 
     An unreadable document keeps a row without ``match_id``, which the builders
-    leave out. Filtering here would make Spark parse each document twice, once
+    leave out and ``rejects`` picks. Filtering here would make Spark parse each document twice, once
     for the filter and once for the columns.
     """
     return _parsed(bronze, MATCH_DOCUMENT)
@@ -51,13 +51,18 @@ def parsed_timelines(bronze: DataFrame) -> DataFrame:
 
 
 def _parsed(bronze: DataFrame, schema) -> DataFrame:
-    documents = parse(bronze, schema)
+    documents = parse_or_reject(bronze, schema, "metadata.matchId")
     return documents.select(
         F.col("data.metadata.matchId").alias("match_id"), F.col("data.info").alias("info"),
-        "extraction_date",
+        "extraction_date", "reject",
     )
 
 
+def rejects(parsed: DataFrame) -> DataFrame:
+    """The documents of a parse that could not be read, as they came, each with the reason."""
+    return parsed.filter(F.col("match_id").isNull()).select("reject.raw_json", "reject.reason", "extraction_date")
+
+
 def accounts(bronze: DataFrame) -> DataFrame:
     """One row per player, from account files in either spelling."""
     records = explode_children(

@@ -27,93 +27,121 @@ DOUBLE, BOOLEAN = T.DoubleType(), T.BooleanType()
 DATE, TIMESTAMP = T.DateType(), T.TimestampType()
 
 
-def _of(data_type: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, data_type) for name in names.split()]
+def _struct(*parts: tuple[str, T.DataType] | list[T.StructField]) -> T.StructType:
+    fields = [T.StructField(*p) if isinstance(p, tuple) else p for p in parts]
+    return T.StructType([f for part in fields for f in (part if isinstance(part, list) else [part])])
 
 
-def _struct(*parts: list[T.StructField]) -> T.StructType:
-    return T.StructType([field for part in parts for field in part])
+# --- Fixed values: fields of documents and tables, in their order there -------
+DOCUMENT = _struct(("raw_json", STRING), ("extraction_date", DATE))
+REJECTED_DOCUMENT = _struct(("raw_json", STRING), ("reason", STRING), ("extraction_date", DATE))
 
-
-DOCUMENT = _struct(_of(STRING, "raw_json"), _of(DATE, "extraction_date"))
-
-_OBJECTIVE = _struct(_of(BOOLEAN, "first"), _of(INT, "kills"))
-_BAN = _struct(_of(INT, "championId pickTurn"))
+_OBJECTIVE = _struct(("first", BOOLEAN), ("kills", INT))
+_BAN = _struct(("championId", INT), ("pickTurn", INT))
 _TEAM = _struct(
-    _of(INT, "teamId"),
-    _of(BOOLEAN, "win"),
-    _of(_struct(_of(_OBJECTIVE, "baron dragon tower inhibitor riftHerald")), "objectives"),
-    _of(T.ArrayType(_BAN), "bans"),
+    ("teamId", INT),
+    ("win", BOOLEAN),
+    ("objectives", _struct(("baron", _OBJECTIVE), ("dragon", _OBJECTIVE), ("tower", _OBJECTIVE), ("inhibitor", _OBJECTIVE), ("riftHerald", _OBJECTIVE))),
+    ("bans", T.ArrayType(_BAN)),
 )
 _PLAYER = _struct(
-    _of(INT, "participantId"),
-    _of(STRING, "puuid"),
-    _of(INT, "teamId"),
-    _of(STRING, "championName"),
-    _of(INT, "championId"),
-    _of(STRING, "individualPosition role"),
-    _of(
-        INT,
-        "kills deaths assists goldEarned totalMinionsKilled neutralMinionsKilled visionScore"
-        " wardsPlaced wardsKilled totalDamageDealtToChampions totalDamageTaken totalHeal"
-        " item0 item1 item2 item3 item4 item5 item6 summoner1Id summoner2Id",
-    ),
-    _of(BOOLEAN, "win"),
+    ("participantId", INT),
+    ("puuid", STRING),
+    ("teamId", INT),
+    ("championName", STRING),
+    ("championId", INT),
+    ("individualPosition", STRING),
+    ("role", STRING),
+    ("kills", INT),
+    ("deaths", INT),
+    ("assists", INT),
+    ("goldEarned", INT),
+    ("totalMinionsKilled", INT),
+    ("neutralMinionsKilled", INT),
+    ("visionScore", INT),
+    ("wardsPlaced", INT),
+    ("wardsKilled", INT),
+    ("totalDamageDealtToChampions", INT),
+    ("totalDamageTaken", INT),
+    ("totalHeal", INT),
+    ("item0", INT),
+    ("item1", INT),
+    ("item2", INT),
+    ("item3", INT),
+    ("item4", INT),
+    ("item5", INT),
+    ("item6", INT),
+    ("summoner1Id", INT),
+    ("summoner2Id", INT),
+    ("win", BOOLEAN),
 )
 MATCH_DOCUMENT = _struct(
-    _of(
-        _struct(_of(STRING, "dataVersion matchId"), _of(T.ArrayType(STRING), "participants")),
-        "metadata",
-    ),
-    _of(
-        _struct(
-            _of(LONG, "gameCreation"),
-            _of(INT, "gameDuration"),
-            _of(LONG, "gameEndTimestamp"),
-            _of(STRING, "gameVersion gameMode gameType"),
-            _of(INT, "mapId queueId"),
-            _of(STRING, "platformId"),
-            _of(T.ArrayType(_TEAM), "teams"),
-            _of(T.ArrayType(_PLAYER), "participants"),
-        ),
-        "info",
-    ),
+    ("metadata", _struct(("dataVersion", STRING), ("matchId", STRING), ("participants", T.ArrayType(STRING)))),
+    ("info", _struct(
+            ("gameCreation", LONG),
+            ("gameDuration", INT),
+            ("gameEndTimestamp", LONG),
+            ("gameVersion", STRING),
+            ("gameMode", STRING),
+            ("gameType", STRING),
+            ("mapId", INT),
+            ("queueId", INT),
+            ("platformId", STRING),
+            ("teams", T.ArrayType(_TEAM)),
+            ("participants", T.ArrayType(_PLAYER)),
+        )),
 )
 
-_POSITION = _struct(_of(INT, "x y"))
+_POSITION = _struct(("x", INT), ("y", INT))
 _PARTICIPANT_FRAME = _struct(
-    _of(INT, "participantId currentGold totalGold xp level minionsKilled jungleMinionsKilled"),
-    _of(_POSITION, "position"),
+    ("participantId", INT),
+    ("currentGold", INT),
+    ("totalGold", INT),
+    ("xp", INT),
+    ("level", INT),
+    ("minionsKilled", INT),
+    ("jungleMinionsKilled", INT),
+    ("position", _POSITION),
 )
 _EVENT = _struct(
-    _of(LONG, "timestamp"),
-    _of(STRING, "type"),
-    _of(INT, "killerId victimId"),
-    _of(T.ArrayType(INT), "assistingParticipantIds"),
-    _of(_POSITION, "position"),
-    _of(INT, "itemId"),
-    _of(STRING, "wardType buildingType"),
+    ("timestamp", LONG),
+    ("type", STRING),
+    ("killerId", INT),
+    ("victimId", INT),
+    ("assistingParticipantIds", T.ArrayType(INT)),
+    ("position", _POSITION),
+    ("itemId", INT),
+    ("wardType", STRING),
+    ("buildingType", STRING),
 )
 _FRAME = _struct(
-    _of(LONG, "timestamp"),
-    _of(T.MapType(STRING, _PARTICIPANT_FRAME), "participantFrames"),
-    _of(T.ArrayType(_EVENT), "events"),
+    ("timestamp", LONG),
+    ("participantFrames", T.MapType(STRING, _PARTICIPANT_FRAME)),
+    ("events", T.ArrayType(_EVENT)),
 )
 TIMELINE_DOCUMENT = _struct(
-    _of(_struct(_of(STRING, "matchId")), "metadata"),
-    _of(_struct(_of(T.ArrayType(_FRAME), "frames")), "info"),
+    ("metadata", _struct(("matchId", STRING))),
+    ("info", _struct(("frames", T.ArrayType(_FRAME)))),
 )
 
 # A landed accounts file is an array of records; both spellings of each field occur.
 ACCOUNT_RECORD = _struct(
-    _of(STRING, "puuid team role game_name tag_line game_name_api tag_line_api extracted_at"),
-    _of(STRING, "gameName tagLine"),
-    _of(LONG, "summonerLevel"),
-    _of(INT, "profileIconId"),
+    ("puuid", STRING),
+    ("team", STRING),
+    ("role", STRING),
+    ("game_name", STRING),
+    ("tag_line", STRING),
+    ("game_name_api", STRING),
+    ("tag_line_api", STRING),
+    ("extracted_at", STRING),
+    ("gameName", STRING),
+    ("tagLine", STRING),
+    ("summonerLevel", LONG),
+    ("profileIconId", INT),
 )
 ACCOUNTS_DOCUMENT = T.ArrayType(ACCOUNT_RECORD)
 
-ROSTER = _struct(_of(STRING, "team role game_name tag_line"))
+ROSTER = _struct(("team", STRING), ("role", STRING), ("game_name", STRING), ("tag_line", STRING))
 
 
 @dataclass(frozen=True)
@@ -148,29 +176,51 @@ class TableContract:
 
 
 _PARTICIPANT_STATS = _struct(
-    _of(INT, "kills deaths assists"),
-    _of(DOUBLE, "kda"),
-    _of(
-        INT,
-        "gold_earned total_minions_killed neutral_minions_killed vision_score wards_placed"
-        " wards_killed total_damage_dealt_to_champions total_damage_taken total_heal"
-        " item0 item1 item2 item3 item4 item5 item6 summoner1_id summoner2_id",
-    ),
-    _of(BOOLEAN, "win"),
+    ("kills", INT),
+    ("deaths", INT),
+    ("assists", INT),
+    ("kda", DOUBLE),
+    ("gold_earned", INT),
+    ("total_minions_killed", INT),
+    ("neutral_minions_killed", INT),
+    ("vision_score", INT),
+    ("wards_placed", INT),
+    ("wards_killed", INT),
+    ("total_damage_dealt_to_champions", INT),
+    ("total_damage_taken", INT),
+    ("total_heal", INT),
+    ("item0", INT),
+    ("item1", INT),
+    ("item2", INT),
+    ("item3", INT),
+    ("item4", INT),
+    ("item5", INT),
+    ("item6", INT),
+    ("summoner1_id", INT),
+    ("summoner2_id", INT),
+    ("win", BOOLEAN),
 ).fields
 _TEAM_STATS = _struct(
-    _of(BOOLEAN, "win"),
-    _of(INT, "baron_kills dragon_kills tower_kills inhibitor_kills rift_herald_kills"),
+    ("win", BOOLEAN),
+    ("baron_kills", INT),
+    ("dragon_kills", INT),
+    ("tower_kills", INT),
+    ("inhibitor_kills", INT),
+    ("rift_herald_kills", INT),
 ).fields
 _FRAME_STATS = _struct(
-    _of(LONG, "timestamp_ms"),
-    _of(
-        INT,
-        "minute current_gold total_gold xp level minions_killed jungle_minions_killed"
-        " position_x position_y",
-    ),
+    ("timestamp_ms", LONG),
+    ("minute", INT),
+    ("current_gold", INT),
+    ("total_gold", INT),
+    ("xp", INT),
+    ("level", INT),
+    ("minions_killed", INT),
+    ("jungle_minions_killed", INT),
+    ("position_x", INT),
+    ("position_y", INT),
 ).fields
-_EXTRACTED = _of(DATE, "extraction_date")
+_EXTRACTED = ("extraction_date", DATE)
 
 
 def _contracts(layer: str, *tables: tuple[str, str, str, list]) -> dict[str, TableContract]:
@@ -188,81 +238,109 @@ BRONZE = {
 SILVER = _contracts(
     "silver",
     ("accounts", "puuid", "one row per player", [
-        _of(STRING, "puuid game_name tag_line team roster_role"),
-        _of(INT, "summoner_level profile_icon_id"),
+        ("puuid", STRING),
+        ("game_name", STRING),
+        ("tag_line", STRING),
+        ("team", STRING),
+        ("roster_role", STRING),
+        ("summoner_level", INT),
+        ("profile_icon_id", INT),
     ]),
     ("matches", "match_id", "one row per match", [
-        _of(STRING, "match_id"),
-        _of(TIMESTAMP, "game_creation"),
-        _of(INT, "game_duration_seconds"),
-        _of(TIMESTAMP, "game_end_timestamp"),
-        _of(STRING, "game_version game_mode game_type"),
-        _of(INT, "map_id queue_id"),
-        _of(STRING, "platform_id"),
-        _of(INT, "winning_team_id"),
+        ("match_id", STRING),
+        ("game_creation", TIMESTAMP),
+        ("game_duration_seconds", INT),
+        ("game_end_timestamp", TIMESTAMP),
+        ("game_version", STRING),
+        ("game_mode", STRING),
+        ("game_type", STRING),
+        ("map_id", INT),
+        ("queue_id", INT),
+        ("platform_id", STRING),
+        ("winning_team_id", INT),
     ]),
     ("match_teams", "match_id team_id", "one row per team and match", [
-        _of(STRING, "match_id"),
-        _of(INT, "team_id"),
+        ("match_id", STRING),
+        ("team_id", INT),
         _TEAM_STATS,
-        _of(T.ArrayType(STRING), "bans"),
+        ("bans", T.ArrayType(STRING)),
     ]),
     ("match_participants", "match_id puuid", "one row per player and match", [
-        _of(STRING, "match_id puuid"),
-        _of(INT, "participant_id team_id"),
-        _of(STRING, "champion_name"),
-        _of(INT, "champion_id"),
-        _of(STRING, "individual_position role"),
+        ("match_id", STRING),
+        ("puuid", STRING),
+        ("participant_id", INT),
+        ("team_id", INT),
+        ("champion_name", STRING),
+        ("champion_id", INT),
+        ("individual_position", STRING),
+        ("role", STRING),
         _PARTICIPANT_STATS,
     ]),
     ("timeline_frames", "match_id participant_id timestamp_ms", "one row per player, frame and match", [
-        _of(STRING, "match_id"),
-        _of(INT, "participant_id"),
+        ("match_id", STRING),
+        ("participant_id", INT),
         _FRAME_STATS,
     ]),
     ("timeline_events", "match_id timestamp_ms event_index", "one row per event and match", [
-        _of(STRING, "match_id"),
-        _of(LONG, "timestamp_ms"),
-        _of(INT, "event_index minute"),
-        _of(STRING, "type"),
-        _of(INT, "killer_id victim_id"),
-        _of(T.ArrayType(INT), "assisting_participant_ids"),
-        _of(INT, "position_x position_y item_id"),
-        _of(STRING, "ward_type building_type"),
+        ("match_id", STRING),
+        ("timestamp_ms", LONG),
+        ("event_index", INT),
+        ("minute", INT),
+        ("type", STRING),
+        ("killer_id", INT),
+        ("victim_id", INT),
+        ("assisting_participant_ids", T.ArrayType(INT)),
+        ("position_x", INT),
+        ("position_y", INT),
+        ("item_id", INT),
+        ("ward_type", STRING),
+        ("building_type", STRING),
     ]),
 )
 
 GOLD = _contracts(
     "gold",
     ("team_stats", "match_id team_id", "objectives and result per team and match", [
-        _of(STRING, "match_id"),
-        _of(INT, "team_id"),
+        ("match_id", STRING),
+        ("team_id", INT),
         _TEAM_STATS,
-        _of(INT, "game_duration_seconds"),
-        _of(TIMESTAMP, "game_creation"),
-        _of(INT, "winning_team_id"),
+        ("game_duration_seconds", INT),
+        ("game_creation", TIMESTAMP),
+        ("winning_team_id", INT),
     ]),
     ("player_performance", "match_id puuid", "performance and rates per tracked player and match", [
-        _of(STRING, "match_id puuid game_name tag_line team"),
-        _of(INT, "team_id"),
-        _of(STRING, "champion_name"),
-        _of(INT, "champion_id"),
-        _of(STRING, "role individual_position"),
+        ("match_id", STRING),
+        ("puuid", STRING),
+        ("game_name", STRING),
+        ("tag_line", STRING),
+        ("team", STRING),
+        ("team_id", INT),
+        ("champion_name", STRING),
+        ("champion_id", INT),
+        ("role", STRING),
+        ("individual_position", STRING),
         _PARTICIPANT_STATS,
-        _of(INT, "total_cs"),
-        _of(DOUBLE, "gold_per_minute damage_per_minute cs_per_minute damage_per_gold"),
-        _of(INT, "game_duration_seconds"),
+        ("total_cs", INT),
+        ("gold_per_minute", DOUBLE),
+        ("damage_per_minute", DOUBLE),
+        ("cs_per_minute", DOUBLE),
+        ("damage_per_gold", DOUBLE),
+        ("game_duration_seconds", INT),
     ]),
     ("draft", "match_id team_id champion_id type", "picks and bans per team and match", [
-        _of(STRING, "match_id"),
-        _of(INT, "team_id champion_id"),
-        _of(STRING, "champion_name type"),
-        _of(INT, "draft_order"),
+        ("match_id", STRING),
+        ("team_id", INT),
+        ("champion_id", INT),
+        ("champion_name", STRING),
+        ("type", STRING),
+        ("draft_order", INT),
     ]),
     ("player_frames_indexed", "match_id participant_id frame_index", "numbered timeline frames", [
-        _of(STRING, "match_id"),
-        _of(INT, "participant_id frame_index"),
-        _of(STRING, "puuid champion_name"),
+        ("match_id", STRING),
+        ("participant_id", INT),
+        ("frame_index", INT),
+        ("puuid", STRING),
+        ("champion_name", STRING),
         _FRAME_STATS,
     ]),
 )

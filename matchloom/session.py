@@ -19,6 +19,10 @@ SETTINGS = {
     # Split a hot join key even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A Bloom filter of a narrowed dimension drops facts before they are shuffled, also where the dimension is too large to
+    # broadcast. Spark adds it only to scans that are large enough to repay it.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
 }
 
 
@@ -88,6 +92,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; one that is absent stays so."""
     delete_paths(spark, [path])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.schemas import DOCUMENT, ROSTER
+from matchloom.schemas import DOCUMENT, REJECTED_DOCUMENT, ROSTER
 
 
 def _partition(base: str, entity: str) -> str:
@@ -34,6 +34,11 @@ def read_documents(
     return rows.select(F.col("value").alias("raw_json"), F.col("dt").alias("extraction_date"))
 
 
+def documents_of_days(documents: DataFrame, days: DataFrame, day: str = "extraction_date") -> DataFrame:
+    """Documents of the days that another table chooses. The chosen days prune the folders while the query runs."""
+    return documents.join(days.select(day), day, "left_semi").select(*documents.columns)
+
+
 def read_day(
     spark: SparkSession, base: str, entity: str, date: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
@@ -94,6 +99,20 @@ def load_bronze(documents: DataFrame, path: str, load: str = "day") -> None:
     )
 
 
+def load_rejects(rejects: DataFrame, path: str, date: str | None = None) -> None:
+    """Replace the rejected documents of a day, or of all days: what has become readable leaves."""
+    if date is None:
+        whole = rejects.hint("rebalance", "extraction_date").write.mode("overwrite")
+        whole.option("partitionOverwriteMode", "static").partitionBy("extraction_date").parquet(path)
+    else:
+        rejects.drop("extraction_date").hint("rebalance").write.mode("overwrite").parquet(f"{path}/extraction_date={date}")
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``raw_json``, ``reason`` and ``extraction_date`` of all documents that could not be read."""
+    return spark.read.schema(REJECTED_DOCUMENT).parquet(path)
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """All documents of a bronze table, whatever brought them."""
     layout = T.StructType([*DOCUMENT.fields, T.StructField("load", T.StringType())])

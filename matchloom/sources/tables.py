@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from matchloom.operators.keys import latest_by_key
 from matchloom.operators.quality import RowRule, observed, settle_counts
 from matchloom.operators.upsert import replace_group
 from matchloom.schemas import TableContract
-from matchloom.session import delete_paths, scratch, stage
+from matchloom.session import delete_paths, path_exists, scratch, stage
 
 DAY = "extraction_date"
 
@@ -52,12 +51,8 @@ def _files(spark: SparkSession, contract: TableContract, *paths: str, base: str
 
 
 def _stored(spark: SparkSession, root: str, contract: TableContract) -> DataFrame | None:
-    try:
-        return _files(spark, contract, table_path(root, contract))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    path = table_path(root, contract)
+    return _files(spark, contract, path) if path_exists(spark, path) else None
 
 
 def read_table(spark: SparkSession, root: str, contract: TableContract) -> DataFrame:

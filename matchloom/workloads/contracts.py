@@ -213,7 +213,8 @@ _STORED = "count(*) AS n, count_if(team_id NOT IN (100, 200) OR game_duration_se
 @query(
     "dq_policy",
     over_lakehouse(
-        f"""WITH batch AS (
+        f"""SELECT * FROM (
+            WITH batch AS (
                 SELECT * REPLACE (CASE WHEN coalesce(win, FALSE) THEN 300 ELSE team_id END AS team_id,
                                   CASE WHEN coalesce(win, FALSE) THEN game_duration_seconds ELSE 100 END AS game_duration_seconds)
                 FROM gold_team_stats WHERE team_id = 100
@@ -232,7 +233,7 @@ _STORED = "count(*) AS n, count_if(team_id NOT IN (100, 200) OR game_duration_se
             )
             SELECT policy, stopped, rule, CAST(violations AS BIGINT) AS violations, n AS stored_rows,
                    CAST(bad AS BIGINT) AS stored_bad_rows
-            FROM stored CROSS JOIN counted"""
+            FROM stored CROSS JOIN counted)"""
     ),
 )
 def policy(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,8 @@ from pyspark.sql.types import StructType
 from matchloom.plans import gold as g
 from matchloom.plans import silver as s
 from matchloom.session import shared_dir
+from matchloom.sources.bucketed import store_bucketed
+from matchloom.sources.tables import create_namespace
 from matchloom.workloads import documents as d
 
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
@@ -50,6 +53,16 @@ class Layers:
         }[entity]
         return self._stored(f"bronze-{entity}", lambda: build(self.spark, self.sf_dir))
 
+    def bucketed(self, table: str, keys: tuple[str, ...], buckets: int = 8) -> DataFrame:
+        """A silver table once more, stored by the key that joins use."""
+        name = f"{table}_{'_'.join(keys)}_{zlib.crc32(self.sf_dir.encode()):08x}"
+        known = (self.spark.conf.get("spark.app.id"), self.sf_dir, f"bucketed-{name}")
+        if known not in _STORED:
+            create_namespace(self.spark, "matchloom_joins")
+            stored = store_bucketed(self.silver(table), keys, buckets, "matchloom_joins", name)
+            _STORED[known] = "", stored.schema
+        return self.spark.read.table(f"matchloom_joins.{name}")
+
     def parsed(self, entity: str) -> DataFrame:
         build = {"matches": s.parsed_matches, "timelines": s.parsed_timelines}[entity]
         return self._stored(f"parsed-{entity}", lambda: build(self.bronze(entity)))

@@ -111,7 +111,7 @@ CTES = {
         UNION ALL
         SELECT concat('C', c_custkey), c_name, 'CUS', NULL, NULL, CAST(c_custkey % 500 AS INT),
             CAST(c_custkey % 30 AS INT), DATE '2001-01-01'
-        FROM customer WHERE c_acctbal > 0""",
+        FROM customer""",
     "silver_matches": _latest("match_rows", "matches"),
     "silver_match_teams": _latest("team_rows", "match_teams"),
     "silver_match_participants": _latest("player_rows", "match_participants"),

@@ -131,9 +131,10 @@ def disjunction(spark, sf):
     ),
 )
 def teams_matches(spark, sf):
+    """Both sides are stored by the join key, so neither is shuffled."""
     layers = Layers(spark, sf)
-    matches = layers.silver("matches").select("match_id", "winning_team_id", "game_creation")
-    return j.enrich(layers.silver("match_teams").select("match_id", "team_id"), matches, ["match_id"])
+    matches = layers.bucketed("matches", ("match_id",)).select("match_id", "winning_team_id", "game_creation")
+    return j.enrich(layers.bucketed("match_teams", ("match_id",)).select("match_id", "team_id"), matches, ["match_id"])
 
 
 @query(

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchloom.operators import upsert as u
+from matchloom.plans import silver as s
 from matchloom.plans.ingest import record_outcomes, to_fetch
 from matchloom.schemas import SILVER, TableContract
-from matchloom.session import shared_dir
+from matchloom.session import shared_dir, stage
 from matchloom.sources import landing as l
 from matchloom.sources.tables import create_table, read_table, write_upsert
 from matchloom.workloads.inputs import Layers
@@ -52,15 +53,17 @@ def whole_files(spark, sf):
 
 @query(
     "src_dt_partition",
-    EVENT_DAYS + " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)",
+    EVENT_DAYS + """ WHERE CAST(ts AS DATE) IN (
+        SELECT DATE '2024-01-01' + CAST(n_nationkey AS INTEGER) FROM nation WHERE n_regionkey = 1)""",
 )
-def one_day(spark, sf):
-    """The latest landed day alone; the other days' folders are not read."""
+def chosen_days(spark, sf):
+    """The landed days that another table chooses; the other days' folders are not read."""
     base = shared_dir(spark, "landing")
-    days = _event_days(spark, sf)
-    l.land_json(days, base, "events")
-    last = days.agg(F.max("dt").cast("string").alias("dt")).first().dt
-    raw = l.read_documents(spark, base, "events", last, whole_file=False)
+    l.land_json(_event_days(spark, sf), base, "events")
+    chosen = Layers(spark, sf).table("nation").filter("n_regionkey = 1").select(
+        F.expr("date_add(DATE '2024-01-01', CAST(n_nationkey AS INT))").alias("extraction_date")
+    )
+    raw = l.documents_of_days(l.read_documents(spark, base, "events", whole_file=False), chosen)
     document = F.from_json("raw_json", "event_id BIGINT, user_id BIGINT, event_type STRING")
     return raw.select(document.alias("d"), "extraction_date").select("d.*", "extraction_date")
 
@@ -338,3 +341,42 @@ def outcomes(spark, sf):
     lines = layers.table("lineitem").select(F.col("l_orderkey").alias("match_id"), "l_linestatus")
     counts = record_outcomes(ids, lines.filter("l_linestatus = 'F'"), lines, shared_dir(spark, "outcomes"))
     return spark.createDataFrame([(status, n) for status, n in counts.items() if n], "status string, n long")
+
+
+REJECTED = {
+    2: ("concat('{\"metadata\": {\"matchId\": \"M', l_orderkey)", "malformed JSON"),
+    3: ("concat('{\"info\": {\"mapId\": ', l_partkey, '}}')", "no matchId"),
+    4: ("'  '", "empty document"),
+    5: ("CAST(NULL AS STRING)", "empty document"),
+}
+READABLE = """concat('{"metadata": {"matchId": "M', l_orderkey, '-', l_linenumber, '"}}')"""
+_CASES = " ".join(f"WHEN {n} THEN {text}" for n, (text, _) in REJECTED.items())
+RAW = f"CASE l_linenumber {_CASES} ELSE {READABLE} END"
+
+
+@query(
+    "land_rejects",
+    f"""SELECT CASE WHEN l_linenumber NOT IN (2, 3, 4, 5) THEN concat('M', l_orderkey, '-', l_linenumber) END AS match_id,
+               CASE WHEN l_linenumber IN (2, 3, 4, 5) THEN {RAW.replace("STRING", "VARCHAR")} END AS raw_json,
+               CASE l_linenumber WHEN 2 THEN 'malformed JSON' WHEN 3 THEN 'no matchId'
+                   WHEN 4 THEN 'empty document' WHEN 5 THEN 'empty document' END AS reason,
+               CAST(date_trunc('month', l_shipdate) AS DATE) AS extraction_date
+        FROM lineitem""",
+)
+def rejects(spark, sf):
+    """Documents of which some cannot be read: those that can and the rejects table are together what came in.
+
+    The first load brings unreadable documents only; the second, of everything, replaces what it left.
+    """
+    documents = Layers(spark, sf).table("lineitem").select(
+        F.expr(RAW).alias("raw_json"), F.expr("CAST(date_trunc('month', l_shipdate) AS DATE)").alias("extraction_date")
+    )
+    path, parsed = shared_dir(spark, "rejects"), stage(s.parsed_matches(documents), "parsed")
+    broken = s.parsed_matches(documents.withColumn("raw_json", F.lit("{")))
+    l.load_rejects(s.rejects(broken), path)
+    l.load_rejects(s.rejects(parsed), path)
+    read = parsed.filter(F.col("match_id").isNotNull()).select(
+        "match_id", F.lit(None).cast("string").alias("raw_json"), F.lit(None).cast("string").alias("reason"), "extraction_date"
+    )
+    kept = l.read_rejects(spark, path)
+    return read.unionByName(kept.withColumn("match_id", F.lit(None).cast("string")).select(*read.columns))

@@ -33,6 +33,19 @@ def test_top_n_and_duplicates(spark, rows):
     assert rows(duplicate_keys(df, ["k"])) == [("a", 5), ("b", 5)]
 
 
+@pytest.mark.parametrize("n", [5000, 20_000])
+def test_many_first_rows_of_a_hot_key_are_cut_in_parts(spark, n):
+    """Two thirds of 30,000 rows share a key; n lies above what Spark cuts before the shuffle by itself."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.expr("CAST(id % 7 AS STRING)")).alias("k"), "id")
+    top = top_n_by_key(df, ["k"], [F.desc("id")], n, rank="place", parts=16)
+    text = top._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window [row_number()") == 2 and "_salt" in text
+    plain = df.withColumn("place", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("id")))).filter(F.col("place") <= n)
+    assert {tuple(r) for r in top.collect()} == {tuple(r) for r in plain.collect()}
+    salted = df.withColumn("part", F.pmod(F.xxhash64("k", "id"), F.lit(16))).groupBy("k", "part").count()
+    assert salted.agg(F.max("count")).first()[0] < 2 * 20_000 / 16
+
+
 @pytest.fixture
 def many_ranges(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

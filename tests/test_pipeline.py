@@ -84,6 +84,22 @@ def test_a_later_day_updates_and_adds_without_deleting(spark, tmp_path, landing)
     assert read_table(spark, root, SILVER["matches"]).filter("match_id = 'B'").count() == 1
 
 
+def test_rejected_documents_are_kept_with_their_reason(spark, tmp_path, landing, rows):
+    put(landing, "matches", D1, "empty.json", " ")
+    put(landing, "matches", D2, "list.json", '{"info": {"gameDuration": 5}}')
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    run_bronze(lake, str(landing))
+    run_silver(lake)
+    first = [(" ", "empty document"), ('{"info": {"gameDuration": 5}}', "no matchId"), ("{", "malformed JSON")]
+    assert rows(lake.rejects("matches"), "raw_json", "reason") == first
+    assert lake.rejects("timelines").count() == 0
+    put(landing, "matches", D1, "broken.json", match("NEW"))
+    put(landing, "matches", D1, "empty.json", match("NEW2"))
+    run_bronze(lake, str(landing), D1)
+    run_silver(lake, D1)
+    assert rows(lake.rejects("matches"), "raw_json", "reason") == first[1:2]
+
+
 def test_partial_gold_builds_equal_a_full_build(spark, tmp_path, landing):
     put(landing, "accounts", D2, "accounts.json", "[]")
     put(landing, "matches", D2, "C.json", match("C", [team(100, True), team(200, False)], ten()))
