@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.session import stage
@@ -23,6 +24,26 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def learn_in_task(sample: DataFrame, learn: Callable[[pa.Table], object]) -> object | None:
+    """What ``learn`` makes of a bounded sample, in one task, so that the driver holds the result alone; None without rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            model = learn(pa.Table.from_batches(held))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").head()
+    return pickle.loads(got.model) if got else None
+
+
+def one_task_each(files: DataFrame, most: int = 10_000) -> DataFrame:
+    """Deal a small table of files out so that as many tasks as there are files read them, ``most`` at most.
+
+    The number is given, so adaptive execution does not merge the tasks.
+    """
+    return files.repartition(max(1, min(files.count(), most)))
+
+
 def text_bytes(column: str = "text"):
     """The UTF-8 bytes of a text; NULL counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
@@ -128,31 +149,31 @@ def components(edges: DataFrame) -> DataFrame:
     """``id`` and ``root`` (smallest id reachable) of every id in ``edges`` (a, b) but the roots themselves.
 
     Each round hooks every id to its smallest smaller neighbour, follows the hooks twice, and rewrites the edges
-    by them. Rounds grow with the logarithm of the longest path. Every table of a round is written to the shared
-    folder, so a lost executor repeats one round at most. Only an emptiness check reaches the driver.
+    by them. Rounds grow with the logarithm of the longest path. The edges and hooks of a round are written to the shared
+    folder, so a lost executor repeats one round at most; the edges are counted while they are written, and that number is all
+    that reaches the driver. An id is hooked in one round only, so the labels are the hooks of all rounds, followed in turn.
     """
-    def tidy(df: DataFrame) -> DataFrame:
-        return (
+    def tidy(df: DataFrame) -> tuple[DataFrame, int]:
+        rows = (
             df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .filter("a <> b").distinct()
         )
+        counted = Observation()
+        return stage(rows.observe(counted, F.count(F.lit(1)).alias("n")), "edges"), counted.get["n"]
 
-    live, hooks = stage(tidy(edges), "edges"), []
-    while not live.isEmpty():
+    (live, n), labels = tidy(edges), None
+    while n:
         hook = live.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
         hook = stage(_follow(_follow(hook, hook), hook), "hooks")
-        hooks.append(hook)
-        moved = live
-        for end in ("a", "b"):
-            to = hook.select(F.col("id").alias(end), F.col("root").alias("to"))
-            moved = moved.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-        live = stage(tidy(moved), "edges")
-    if not hooks:
+        to = hook.select(F.col("id").alias("b"), F.col("root").alias("to"))  # every greater end is hooked
+        moved = live.join(to, "b").select("a", F.col("to").alias("b"))
+        to = hook.select(F.col("id").alias("a"), F.col("root").alias("to"))
+        moved = moved.join(to, "a", "left").select(F.coalesce("to", "a").alias("a"), "b")
+        labels = hook if labels is None else _follow(labels, hook).unionByName(hook)
+        live, n = tidy(moved)
+    if labels is None:
         return live.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    labels = hooks[-1]
-    for hook in reversed(hooks[:-1]):
-        labels = stage(_follow(hook, labels).unionByName(labels), "labels")
-    return labels
+    return stage(labels, "labels")
 
 
 def _follow(hook: DataFrame, further: DataFrame) -> DataFrame:
