@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import small_batches
+from matchloom.llm.common import learn_in_task, small_batches
 
 WORDS = 2048  # hashed word features
 RANK = 8  # of the interactions
@@ -129,7 +129,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, id_col: str = "doc_id",
         text_col: str = "text", chars_col: str = "n_chars") -> Machine:
-    """Learn from at most ``rows`` of the labelled documents; their features, not their texts, come to the driver."""
+    """Learn from at most ``rows`` of the labelled documents, in one task; the driver gets the model alone.
+
+    Whole texts of any length are read. Other columns of ``docs`` and ``labels`` are ignored, whatever their names.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 200):
@@ -141,15 +144,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
                 ], ["target", "index", "value"])
 
     sample = labelled_sample(docs, labels, label, rows, id_col, text_col, chars_col)
-    got = sample.select(F.col("target").cast("int"), text_col, F.col(chars_col).cast("long")).mapInArrow(
+    found = sample.select(F.col("target").cast("int"), text_col, F.col(chars_col).cast("long")).mapInArrow(
         run, "target int, index array<int>, value array<float>"
-    ).toArrow()
-    index, value = (
-        [x.values.to_numpy() for x in got.column(c)] for c in ("index", "value")
     )
+    return learn_in_task(found, _learn) or Machine.fit([], np.zeros(0))
+
+
+def _learn(got: pa.Table) -> Machine:
+    index, value = ([x.values.to_numpy() for x in got.column(c)] for c in ("index", "value"))
     # An order of its own, so that the model does not depend on how Spark dealt the rows out.
     order = sorted(range(got.num_rows), key=lambda i: (zlib.crc32(value[i].tobytes()), zlib.crc32(index[i].tobytes())))
-    target = got.column("target").to_numpy()[order].astype(np.float64) if got.num_rows else np.zeros(0)
+    target = got.column("target").to_numpy()[order].astype(np.float64)
     return Machine.fit([(index[i], value[i]) for i in order], target)
 
 
