@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import complete_groups, small_batches, text_bytes
@@ -292,7 +293,7 @@ def repeated_windows(keyed: DataFrame, width: int) -> DataFrame:
     cut = stage(_cut(keyed.select(*KEY, "data").join(spots, KEY), width), "cut")
     runs = [
         shared.filter("alike").select(*KEY, "first", "last"),
-        mixed.join(heads.filter("n > 1").select("anchor", "region"), ["anchor", "region"]).select(*KEY, "first", "last"),
+        _same_regions(mixed).select(*KEY, "first", "last"),
         _sorted_runs(cut.filter("part is null"), width),
     ]
     if not hot.isEmpty():
@@ -303,6 +304,22 @@ def repeated_windows(keyed: DataFrame, width: int) -> DataFrame:
     return out
 
 
+def _same_regions(places: DataFrame, salts: int = 64) -> DataFrame:
+    """Places whose region occurs at another place of their anchor as well.
+
+    Places are counted by region within a salt, and then those that are first in their salt, at most ``salts`` of a region, across
+    salts. So a region at most places of all is spread over tasks, and no place meets more than a count.
+    """
+    of = ["anchor", "region"]
+    salted = places.withColumn("salt", F.pmod(F.xxhash64(*KEY, "first"), F.lit(salts)))
+    within = W.partitionBy(*of, "salt")
+    counted = salted.withColumn("n", F.count("*").over(within)).withColumn(
+        "turn", F.row_number().over(within.orderBy(*KEY, "first"))
+    )
+    firsts = W.partitionBy(*of, F.when(F.col("turn") == 1, -1).otherwise(F.col("salt")))
+    return counted.withColumn("across", F.count("*").over(firsts)).filter((F.col("n") > 1) | (F.col("across") > 1))
+
+
 _RUNS = "id long, print long, first int, last int"
 
 
