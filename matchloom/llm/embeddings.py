@@ -15,6 +15,8 @@ from matchloom.session import stage
 
 LEVELS = 15  # a query component is rounded to four bits
 BOUND = 4.0  # standard errors of the confidence bound
+SHORT = 128  # signs that travel through the tables
+SHORT_BOUND = 6.0  # standard errors of the number of signs in which a pair at the threshold differs
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -35,12 +37,23 @@ def tables_for(rows: int, threshold: float, miss: float = 0.001, per_bucket: int
     return bits, math.ceil(math.log(miss) / math.log(1 - meet))
 
 
+def turns_for(dim: int, bits: int, tables: int) -> int:
+    return max(2, math.ceil(bits * tables / dim))
+
+
+def most_different(dim: int, bits: int, tables: int, threshold: float) -> int:
+    """So many of the short code's signs can differ at the threshold: their expectation and SHORT_BOUND standard errors."""
+    n = min(SHORT, dim * turns_for(dim, bits, tables))
+    p = math.acos(threshold) / math.pi
+    return math.floor(n * p + SHORT_BOUND * math.sqrt(n * p * (1 - p)))
+
+
 class Coder:
     """Codes, correction factors and rounded queries of unit vectors of one dimension."""
 
     def __init__(self, dim: int, bits: int, tables: int, seed: int = 7):
         self.dim, self.bits, self.tables = dim, bits, tables
-        turns = max(2, math.ceil(bits * tables / dim))
+        turns = turns_for(dim, bits, tables)
         self.matrix = np.concatenate([rotation(dim, seed + i) for i in range(turns)]) if dim else np.zeros((0, 0))
         self.width = len(self.matrix)
         self.turns = turns
@@ -53,16 +66,43 @@ class Coder:
         step = np.maximum((turned.max(axis=1, keepdims=True) - low) / LEVELS, 1e-12)
         dither = np.random.default_rng(11).random(self.width)
         levels = np.clip(np.floor((turned - low) / step + dither), 0, LEVELS).astype(np.uint8)
-        keyed = signs[:, : self.bits * self.tables].reshape(len(unit), self.tables, self.bits)
-        keys = np.zeros((len(unit), self.tables), dtype=np.int64)
-        for bit in range(self.bits):
-            keys |= keyed[:, :, bit].astype(np.int64) << bit
         return {
             "code": _words(signs), "factor": factor, "low": low[:, 0], "step": step[:, 0],
             "planes": np.stack([_words((levels >> k) & 1 == 1) for k in range(4)], axis=1),
-            "total": levels.sum(axis=1, dtype=np.int64), "ones": signs.sum(axis=1, dtype=np.int64), "keys": keys,
+            "total": levels.sum(axis=1, dtype=np.int64), "ones": signs.sum(axis=1, dtype=np.int64), "keys": self._keys(signs),
         }
 
+    def _keys(self, signs: np.ndarray) -> np.ndarray:
+        keyed = signs[:, : self.bits * self.tables].reshape(len(signs), self.tables, self.bits)
+        keys = np.zeros((len(signs), self.tables), dtype=np.int64)
+        for bit in range(self.bits):
+            keys |= keyed[:, :, bit].astype(np.int64) << bit
+        return keys
+
+    def pack(self, x: dict[str, np.ndarray]) -> list[bytes]:
+        """Code, rounded query and correction factors of each row as bytes."""
+        n = len(x["code"])
+        whole = np.concatenate([
+            x["code"], x["planes"].reshape(n, -1), *(x[c].view(np.uint64)[:, None] for c in ("factor", "low", "step", "total", "ones")),
+        ], axis=1)
+        return [row.tobytes() for row in whole]
+
+    def unpack(self, packed: list[bytes]) -> dict[str, np.ndarray]:
+        whole = np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
+        words = (whole.shape[1] - 5) // 5
+        code = np.ascontiguousarray(whole[:, :words])
+        numbers = np.ascontiguousarray(whole[:, -5:])
+        real = numbers.view(np.float64)
+        signs = np.unpackbits(code.view(np.uint8), axis=1)[:, :self.width]
+        return {
+            "code": code, "planes": whole[:, words:5 * words].reshape(len(packed), 4, words), "factor": real[:, 0], "low": real[:, 1],
+            "step": real[:, 2], "total": numbers[:, 3].view(np.int64), "ones": numbers[:, 4].view(np.int64), "keys": self._keys(signs),
+        }
+
+    def short(self, x: dict[str, np.ndarray]) -> np.ndarray:
+        """The first signs of each row, as 64-bit words."""
+        return np.ascontiguousarray(x["code"][:, :SHORT // 64])
+
     def estimate(self, x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner products of rows i (as codes) and j (as rounded queries), and their error bounds."""
         inner = np.zeros(len(i), dtype=np.int64)
@@ -76,6 +116,15 @@ class Coder:
         return value, BOUND * (spread + rounding)
 
 
+_GROUP = ["slot", "bucket", "lo", "hi"]
+
+
+def _aligned(short: list[bytes]) -> np.ndarray:
+    """Short codes as rows of words; those of vectors of few dimensions are shorter and filled up."""
+    width = max(map(len, short))
+    return np.frombuffer(b"".join(x.ljust(width, b"\0") for x in short), np.uint64).reshape(len(short), -1)
+
+
 def _words(bits: np.ndarray) -> np.ndarray:
     """Rows of booleans as rows of 64-bit words."""
     packed = np.packbits(bits, axis=1)
@@ -94,13 +143,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """``vec_id``, ``n_links``, ``component_id`` and ``kept``, one row per row of ``vectors``.
 
     Vectors link if their cosine, in double precision, reaches ``threshold``. The signs of randomly rotated unit
-    vectors are the code. Runs of the code key hash tables; of each pair that meets, the code gives an unbiased
-    estimate of the cosine with a bound, and only pairs whose bound reaches the threshold are computed exactly. A
-    pair counts in the first table it meets in. Equal vectors are one node. Only counts and spanning edges leave
-    a bucket, and buckets over ``block`` are worked in block pairs.
+    vectors are the code, which is stored once with its correction factors. Runs of the code key hash tables, through which only the
+    first 128 signs travel. Vectors that meet another one so alike that it may reach the threshold get their codes and
+    vectors: the code gives an unbiased estimate of the cosine with a bound, and only pairs whose bound reaches the
+    threshold are computed exactly. A pair counts in the first table it meets in. Equal vectors are one node. Only counts and
+    spanning edges leave a bucket, and buckets over ``block`` are worked in block pairs.
 
     NULL, empty and zero vectors and vectors with NULL or non-finite components link with nothing. Vectors of different length
-    never link. Repeated rows count as other vectors. An empty table gives an empty result.
+    never link. Repeated rows count as other vectors; rows without an id link with nothing and are kept. Other columns are
+    ignored. An empty table gives an empty result.
     """
     v = F.col(vector_col)
     good = (
@@ -111,7 +162,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("vector"),
         F.coalesce(good, F.lit(False)).alias("good"),
-    ).withColumn("print", F.when(F.col("good"), F.struct(F.xxhash64("vector"), F.xxhash64("vector", F.lit(1)))))
+    ).withColumn("print", F.when(F.col("good"), F.struct(F.xxhash64("vector"), F.xxhash64(F.lit(1), "vector"))))
     nodes = stage(
         rows.filter("good").groupBy("print").agg(
             F.min_by("vector", "vec_id").alias("vector"), F.min("vec_id").alias("id"), F.count("*").alias("copies")
@@ -128,23 +179,35 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 part = batch.filter(pa.array(sizes == dim))
                 coder = coders.setdefault(int(dim), Coder(int(dim), bits, tables))
                 x = _matrix(part.column(1))
-                keys = coder.encode(x / _norms(x))["keys"]
-                flat = pa.array(keys.ravel())
-                offsets = pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(offsets, flat)], ["id", "vector", "copies", "keys"]
-                )
-
-    keyed = nodes.select("id", "vector", "copies").mapInArrow(
-        encode, "id long, vector array<double>, copies long, keys array<long>"
+                found = coder.encode(x / _norms(x))
+                offsets = pa.array(np.arange(0, found["keys"].size + 1, tables, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(np.full(part.num_rows, dim, dtype=np.int32)),
+                    pa.ListArray.from_arrays(offsets, pa.array(found["keys"].ravel())),
+                    pa.array([row.tobytes() for row in coder.short(found)], pa.binary()), pa.array(coder.pack(found), pa.binary()),
+                ], ["id", "dim", "keys", "short", "code"])
+
+    codes = stage(
+        nodes.select("id", "vector").mapInArrow(encode, "id long, dim int, keys array<long>, short binary, code binary"), "vector-codes"
     )
-    dealt = keyed.select("*", F.posexplode("keys").alias("slot", "key")).select(
-        "slot", F.struct("key", F.size("vector").alias("dim")).alias("at"), "id", "vector", "copies",
-    ).select("slot", (F.col("at.key") * 65536 + F.col("at.dim")).alias("bucket"), "id", "vector", "copies")
+    dealt = codes.select("id", "dim", "short", F.posexplode("keys").alias("slot", "key")).select(
+        "slot", (F.col("key") * 65536 + F.col("dim")).alias("bucket"), "id", "dim", "short"
+    )
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in complete_groups(batches, _GROUP):
+            lo, hi, own, dim = (rows.column(c).to_numpy() for c in ("lo", "hi", "own", "dim"))
+            short = _aligned(rows.column("short").to_pylist())
+            most = {d: most_different(d, bits, tables, threshold) for d in np.unique(dim).tolist()}
+            limit, used = np.array([most[d] for d in dim.tolist()]), np.zeros(rows.num_rows, dtype=bool)
+            for left, right in close_rows(group, lo, hi, own):
+                near = np.bitwise_count(short[left] ^ short[right]).sum(axis=1, dtype=np.int64) <= limit[left]
+                used[left[near]] = used[right[near]] = True
+            if used.any():
+                yield from rows.filter(pa.array(used)).select([*_GROUP, "own", "id"]).to_batches()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coders: dict[int, Coder] = {}
-        for rows, group in complete_groups(batches, ["slot", "bucket", "lo", "hi"]):
+        for rows, group in complete_groups(batches, _GROUP):
             dims = np.diff(rows.column("vector").combine_chunks().offsets.to_numpy())
             for dim in np.unique(dims):
                 here = dims == dim
@@ -152,9 +215,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 coder = coders.setdefault(int(dim), Coder(int(dim), bits, tables))
                 yield from _compare(part, group[here], coder, threshold)
 
-    found = stage(
-        blocked(dealt, block).mapInArrow(compare, "id long, links long, root long"), "vector-links"
-    )
+    members = stage(blocked(dealt, block).mapInArrow(meet, "slot int, bucket long, lo int, hi int, own int, id long"), "vector-meetings")
+    whole = members.join(codes.select("id", "code"), "id").join(nodes.select("id", "copies", "vector"), "id")
+    whole = whole.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    found = stage(whole.mapInArrow(compare, "id long, links long, root long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("root").alias("a"), F.col("id").alias("b")))
     named = (
@@ -180,7 +244,7 @@ def _compare(rows: pa.Table, group: np.ndarray, coder: Coder, threshold: float)
     )
     x = _matrix(rows.column("vector"))
     unit = x / _norms(x)
-    codes = coder.encode(unit)
+    codes = coder.unpack(rows.column("code").to_pylist())
     keys, found = codes["keys"], []
     before = np.arange(coder.tables)[None, :]
     for left, right in close_rows(group, lo, hi, own):
