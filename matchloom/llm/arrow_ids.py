@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import small_batches
+from matchloom.llm.common import one_task_each, small_batches
 from matchloom.llm.tokens import text_encoder
 from matchloom.session import shared_dir, stage
 
@@ -157,7 +157,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    return placed.select("name", "base").repartition("name").mapInArrow(
+    return one_task_each(placed.select("name", "base")).mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
