@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.arrow_ids import open_folder
-from matchloom.llm.common import small_batches, text_bytes
+from matchloom.llm.common import one_task_each, small_batches, text_bytes
 from matchloom.session import shared_dir, stage
 
 # Fixed values of the WARC and Zstandard formats.
@@ -112,10 +112,12 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
     heads = rows.groupBy("sha1").agg(F.max("page_id").alias("head"))
     kept = F.col("head").isNull() | F.col("page_id").eqNullSafe(F.col("head")) | (F.length("payload") < min_bytes)
     decided = rows.join(heads, "sha1").withColumn("refers_to", F.when(~kept, F.col("head")))
-    sample = (
-        pages.select(F.col(id_col).alias("id"), F.substring(payload, 1, SAMPLE_BYTES).alias("payload"))
-        .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PAGES).collect()
-    )
+    # The ids are chosen first, so that the pages of no others are moved.
+    by_hash = [F.xxhash64("id"), F.col("id")]
+    begun = pages.select(F.col(id_col).cast("long").alias("id"), F.substring(payload, 1, SAMPLE_BYTES).alias("payload"))
+    chosen = begun.filter("id is not null").select("id").distinct().orderBy(*by_hash).limit(SAMPLE_PAGES)
+    ids = [r.id for r in chosen.collect()]  # at most SAMPLE_PAGES numbers
+    sample = begun.filter(F.col("id").isin(ids)).groupBy("id").agg(F.max("payload").alias("payload")).orderBy(*by_hash).collect()
     dictionary = build_dictionary([
         record(r.id, None, "", bytes(r.payload), None, date) for r in sample
     ])
@@ -184,7 +186,7 @@ def read_archives(names: DataFrame, folder: str) -> DataFrame:
             ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
         )
 
-    return names.repartition("name").mapInArrow(
+    return one_task_each(names).mapInArrow(
         read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
 
