@@ -68,7 +68,7 @@ def _sizes(spelled: list[bytes]) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _byte_level(path: str):
     """Encoder, bytes of each id, and their number; one per file and Python worker."""
-    encoder = text_encoder(path, keep_space=True)
+    encoder = text_encoder(path, keep_space=True, plain=True)
     byte = {c: b for b, c in byte_characters().items()}
     vocabulary = encoder.pieces.encode.tokenizer.get_vocab(with_added_tokens=True)
     spelled = [b""] * (max(vocabulary.values()) + 1)

@@ -87,17 +87,18 @@ STABLE = "ɐ"
 
 
 class LibraryEncoder:
-    """``encode`` by the tokenizers library; strings of special tokens are ordinary text.
+    """``encode`` by the tokenizers library. Strings of added tokens in a text are ordinary text if ``plain``; otherwise
+    they become those tokens, as the library does by itself, and a text that holds one goes through it as a whole.
 
-    Texts whose characters all lie below ``STABLE`` are split here, and the library's model encodes each different
+    Other texts whose characters all lie below ``STABLE`` are split here, and the library's model encodes each different
     pre-token, which is remembered. All other texts, and tokenizers of another make, go through the library as a whole.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.model, self.limit = self.tokenizer.model, limit
         self.known: dict[str, bytes] = {}  # bytes, not lists: Python's collector need not visit them
         self.lower, pattern = _make(json.loads(self.tokenizer.to_str()))
@@ -152,12 +153,26 @@ class TextEncoder:
     else goes through the tokenizers library by cached pieces.
     """
 
-    def __init__(self, path: str, keep_space: bool):
-        library = LibraryEncoder(path)
+    def __init__(self, path: str, keep_space: bool, plain: bool = False):
+        library = LibraryEncoder(path, plain=plain)
+        added = [] if plain else [x["content"] for x in json.loads(library.tokenizer.to_str()).get("added_tokens", [])]
+        self.library, self.added = library, regex.compile("|".join(map(regex.escape, added)), regex.I) if added else None
         self.pieces = PieceCache(library, keep_space)
         self.ranks = _rank_encoding(json.loads(library.tokenizer.to_str())) if library.pattern else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        special = [i for i, x in enumerate(texts) if self.added.search(x)] if self.added else []
+        if special:
+            texts = list(texts)
+            whole = {i: self.library._whole(texts[i]) for i in special}
+            for i in special:
+                texts[i] = ""
+        found = self._plain_ids(texts)
+        for i in special:
+            found[i] = whole[i]
+        return found
+
+    def _plain_ids(self, texts: list[str]) -> list[bytes]:
         if self.ranks is None:
             if self.pieces.encode.lower:  # lowered as a whole, texts have fewer different pieces
                 texts = [x.lower() if x.isascii() or max(x) < STABLE else x for x in texts]
@@ -169,9 +184,9 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=4)
-def text_encoder(path: str, keep_space: bool) -> TextEncoder:
+def text_encoder(path: str, keep_space: bool, plain: bool = False) -> TextEncoder:
     """One encoder per file and Python worker, so that its pieces are remembered from task to task."""
-    return TextEncoder(path, keep_space)
+    return TextEncoder(path, keep_space, plain)
 
 
 def _rank_encoding(config: dict):
