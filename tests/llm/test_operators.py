@@ -3,13 +3,17 @@
 import base64
 import hashlib
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from llm import brute
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from matchloom.llm import arrow_ids, bpe, embeddings, fingerprints, packing, quality, simhash, suffix, toxicity, warc
+from matchloom.llm import QUERIES
 from matchloom.llm.common import components
 from matchloom.llm.tokens import TextEncoder
 
@@ -31,6 +35,7 @@ def corpus():
         (1, base), (2, base), (3, near), (4, None), (5, ""), (6, " \n "), (7, "One"), (8, "one"),
         (9, prose(3, 80) + " " + passage), (10, passage + " " + prose(4, 90)), (11, passage),
         (12, "Ünïcødé ßtraße 漢字 🎉 " * 40), (13, "of " * 4000), (14, prose(5, 6000)), (15, "a" * 3000), (20, base.upper()),
+        (21, "one <|endoftext|> two <|startoftext|>"),
     ]
 
 
@@ -91,6 +96,40 @@ def test_estimates_hold_their_bounds_and_no_vectors_give_no_rows(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_packed_codes_come_back_and_short_codes_keep_pairs():
+    coder = embeddings.Coder(48, 9, 13)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    y = 0.95 * x + np.sqrt(1 - 0.95 ** 2) * side  # all at the threshold
+    codes = coder.encode(x)
+    back = coder.unpack(coder.pack(codes))
+    assert codes.keys() == back.keys() and all((codes[k] == back[k]).all() for k in codes)
+    differ = np.bitwise_count(coder.short(codes) ^ coder.short(coder.encode(y))).sum(axis=1)
+    limit = embeddings.most_different(48, 9, 13, 0.95)
+    assert differ.max() <= limit < np.bitwise_count(coder.short(codes)[:1500] ^ coder.short(codes)[1500:]).sum(axis=1).mean() - 20
+
+
+@pytest.mark.parametrize("dim", [3, 64])
+def test_vectors_at_the_threshold_and_without_id(spark, dim):
+    """Pairs from 0.94 to 0.96, a group of near copies, and rows that nothing links to."""
+    rng = np.random.default_rng(dim)
+    rows = []
+    for i, cosine in enumerate(np.linspace(0.94, 0.96, 60)):
+        a, b = np.linalg.qr(rng.normal(size=(dim, 2)))[0].T
+        rows += [(2 * i, (a * 3).tolist()), (2 * i + 1, (cosine * a + np.sqrt(1 - cosine ** 2) * b).tolist())]
+    centre = rng.normal(size=dim)
+    rows += [(1000 + i, (centre + rng.normal(size=dim) * 0.02).tolist()) for i in range(80)]
+    df = spark.createDataFrame([(i, v) for i, v in rows] + [(None, rows[0][1])], "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicates(df, block=16).collect()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found if r.vec_id is not None}
+    assert got == brute.vectors(rows)
+    assert [(r.n_links, r.kept) for r in found if r.vec_id is None] == [(0, True)]
+
+
 # --- fingerprints ------------------------------------------------------------------
 
 def test_fingerprints_of_edited_and_next_texts(docs, spark):
@@ -267,14 +306,64 @@ def test_the_penalty_makes_swaps_change_less():
     rng = random.Random(0)
     texts = [f"{prose(i, 8)} {'women' if i % 2 else 'men'} {'awful' if rng.random() < (0.9 if i % 2 else 0.3) else 'fine'}" for i in range(300)]
     y = np.array([float("awful" in t or (i % 2 and rng.random() < 0.4)) for i, t in enumerate(texts)])
-    words = [toxicity.words_of(t) for t in texts]
-    rows = [toxicity.word_features(w) for w in words]
-    twins = [toxicity.word_features({toxicity.SWAP.get(x, x) for x in w}) for w in words]
-    free, held = (toxicity.Toxicity.fit(rows, twins, y, np.ones(len(y)), penalty=p) for p in (0.0, 50.0))
+    rows = [toxicity.word_features(toxicity.words_of(t)) for t in texts]
+    changes = Counter(c for t in texts for c in toxicity.swaps(t))
+    free, held = (toxicity.Toxicity.fit(rows, changes, y, np.ones(len(y)), penalty=p) for p in (0.0, 50.0))
     gap = lambda m: abs(m.score("women were fine") - m.score("men were fine"))
     assert gap(held) < 0.2 * gap(free) and held.score("that was awful") > held.score("that was fine") + 0.3
 
 
+def test_swaps_are_made_one_term_at_a_time_in_each_sentence():
+    hashed = lambda *words: set(toxicity.word_features(set(words)).tolist())
+    both = toxicity.swaps("Women and men came.")
+    assert len(both) == 2 and all(gone and not come for gone, come in both)  # the other member is there already
+    assert {frozenset(gone) for gone, _ in both} == {frozenset(hashed("women")), frozenset(hashed("men"))}
+    apart = toxicity.swaps("The women came. The men left!\nNobody stayed")
+    assert {(frozenset(g), frozenset(c)) for g, c in apart} == {
+        (frozenset(hashed("women")), frozenset(hashed("men"))), (frozenset(hashed("men")), frozenset(hashed("women")))}
+    assert len(toxicity.swaps("old women")) == 2
+    assert toxicity.swaps("") == toxicity.swaps("nobody at all") == set()
+    assert toxicity.swaps("deaf " * 50_000) == toxicity.swaps("deaf")
+
+
+def test_a_text_that_names_both_members_adds_penalty():
+    """Texts with both members of a pair alone, of which one goes with the label."""
+    texts = [f"women met men. {'women' if i % 2 else 'they'} {'awful' if i % 2 else 'fine'}" for i in range(200)]
+    y = np.array([float(i % 2) for i in range(200)])
+    rows = [toxicity.word_features(toxicity.words_of(t)) for t in texts]
+    model = toxicity.Toxicity.fit(rows, Counter(c for t in texts for c in toxicity.swaps(t)), y, np.ones(200), penalty=50.0)
+    assert abs(model.score("women") - model.score("men")) < 0.02
+
+
+@pytest.mark.parametrize("name, folds, fold, least, label", [
+    ("op5_quality", 5, 0, 0.3, "quality"), ("op6_toxicity", 3, 1, 0.7, "toxic"),
+])
+def test_classifier_queries_hold_out_their_fold(spark, name, folds, fold, least, label):
+    """Fold, threshold and held-out separation on the whole table of documents."""
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in QUERIES[name](spark, sf).collect()}
+    docs = {r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    assert got.keys() == docs
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % folds == fold)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= least)
+    known = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(got[i].score, y) for i, y in known.items() if i in got and got[i].held_out]
+    good, bad = [s for s, y in held if y], [s for s, y in held if not y]
+    assert len(good) > 5 and len(bad) > 5
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.88
+
+
+def test_held_out_labels_and_other_columns_of_labels_change_nothing(spark):
+    docs, _, labels = labelled(spark)
+    shared = labels.withColumn("text", F.lit("x")).withColumn("score", F.lit(1.0)).withColumn("n_chars", F.lit(3))
+    base = by(quality.score(docs, quality.fit(docs, labels.filter("doc_id < 200"))), "doc_id", "score")
+    assert by(quality.score(docs, quality.fit(docs, shared.filter("doc_id < 200"))), "doc_id", "score") == base
+    flipped = labels.withColumn("quality", F.when(F.col("doc_id") < 200, F.col("quality")).otherwise(1 - F.col("quality")))
+    assert by(quality.score(docs, quality.fit(docs, flipped.filter("doc_id < 200"))), "doc_id", "score") == base
+    assert toxicity.fit(docs, shared.filter("doc_id < 200")).score("you") == toxicity.fit(docs, labels.filter("doc_id < 200")).score("you")
+
+
 # --- packing, tokens --------------------------------------------------------------------
 
 def test_packing_is_gapless_whole_and_tight(docs, spark):
@@ -282,7 +371,6 @@ def test_packing_is_gapless_whole_and_tight(docs, spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     got = packing.pack_documents(docs, path, capacity=256).collect()
     for i, text in corpus():
         ids = library.encode(text or "", add_special_tokens=False).ids + [0]
@@ -314,10 +402,12 @@ def test_plans_use_every_piece_once_and_exact_complements():
     assert packing.plan({34: 1, 15: 1, 9: 1, 6: 1}, 64) == [((34, 15, 9, 6), 1)]
 
 
+@pytest.mark.parametrize("plain", [False, True])
 @pytest.mark.parametrize("name, keep", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_cached_encoding_equals_the_library(name, keep):
-    encoder = TextEncoder(public_tokenizers.path(name), keep)
-    odd = ["", " ", "a  b", " \n x", "a \n b", "　 x y", "<|endoftext|> a <|startoftext|>", "İstanbul ΑΣ Σ", "é ́x q",
+def test_cached_encoding_equals_the_library(name, keep, plain):
+    """Strings of special tokens are those tokens, as in the library, or with ``plain`` ordinary text."""
+    encoder = TextEncoder(public_tokenizers.path(name), keep, plain)
+    odd = ["", " ", "a  b", " \n x", "a \n b", "　 x y", "<|endoftext|> a <|startoftext|>", "x <|endoftext|> y", "<|EndOfText|>", "a<|endoftext|>é漢", "İstanbul ΑΣ Σ", "é ́x q",
            "12 345's we'll 'S", "a\xa0 b", "x \x1c y", "\x85 a", "a ", "漢字 かな 🎉🎉"] + [t for _, t in corpus() if t]
     library = encoder.pieces.encode.tokenizer
     for text, raw in zip(odd, encoder.ids(odd)):
@@ -342,7 +432,6 @@ def test_ids_written_and_read_back_in_order(docs, spark, tmp_path):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     folder = str(tmp_path / "ids")
     manifest = arrow_ids.write_ids(docs, folder, path, length=64)
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in arrow_ids.read_ids(manifest, folder).collect()}
