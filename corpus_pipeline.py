@@ -19,14 +19,22 @@ REPEAT_BYTES = 200  # about fifty short words
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.3 go. One document in five is held out of the learning."""
+    """Documents scored below 0.3 go. One document in five is held out of the learning.
+
+    NULL and empty texts are scored by their statistics like any other text, whole texts of any length are read, repeated
+    rows and rows without an id are judged each. Without labels of both kinds nothing goes; without documents nothing comes.
+    """
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(~quality.in_fold("doc_id", 5, 0))
     machine = quality.fit(docs, labels)
     return quality.score(docs, machine, keep=COLUMNS).filter(F.col("score") >= QUALITY_LEAST).select(*COLUMNS)
 
 
 def toxicity_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.7 or more go. One document in three is held out of the learning."""
+    """Documents scored 0.7 or more go. One document in three is held out of the learning.
+
+    NULL and empty texts have the score of a text without known features and stay. All words of a text of any length
+    count, repeated rows and rows without an id are judged each. Without toxic labels nothing goes.
+    """
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(~quality.in_fold("doc_id", 3, 1))
     model = toxicity.fit(docs, labels)
     return toxicity.score(docs, model, keep=COLUMNS).filter(F.col("score") < TOXIC_MOST).select(*COLUMNS)
@@ -50,7 +58,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 200 bytes that occur twice go, at every place; a character cut in half goes whole."""
+    """Strings of 200 bytes that occur twice go, at every place; a character cut in half goes whole.
+
+    NULL texts come back empty; every row stays, if with an empty text. Repeated rows are copies of each other. Texts of any
+    length are read whole.
+    """
     removed = suffix.remove_repeats(docs, REPEAT_BYTES, keep=["lang", "source"], as_text=True)
     return removed.select(
         "doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("long").alias("n_chars")
@@ -58,7 +70,10 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens of what is left."""
+    """Sequences of at most 2048 tokens of what is left.
+
+    One row per piece; NULL and empty texts are the end token alone, repeated rows are packed each, long texts are cut.
+    """
     return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
@@ -69,7 +84,8 @@ STAGES = [
     ("suffix-array dedup", suffix_dedup),
     ("best-fit packing", best_fit_packing),
 ]
-# No SQL: classifiers are trained, tokens are a library's, and repeats need suffixes. Tests hold stages against brute force.
+# No SQL: classifiers are trained, tokens are a library's, and repeats need suffixes. Tests hold
+# near copies and repeats against brute force, and the other stages on planted rows.
 ORACLE_SQL = None
 
 
