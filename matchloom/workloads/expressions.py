@@ -21,10 +21,6 @@ def from_json_struct(spark, sf):
     "fn_from_json_ddl",
     over_lakehouse("SELECT match_id, puuid, CAST(participant_id AS INT) AS participant_id FROM player_rows"),
 )
-@query(
-    "tgf_lateral_explode",
-    over_lakehouse("SELECT match_id, puuid, CAST(participant_id AS INT) AS participant_id FROM player_rows"),
-)
 def from_json_ddl(spark, sf):
     """SQL form: a JSON fragment exploded by a lateral view."""
     Layers(spark, sf).bronze("matches").createOrReplaceTempView("matchloom_bronze_matches")
@@ -37,6 +33,16 @@ def from_json_ddl(spark, sf):
     )
 
 
+@query("tgf_lateral_explode", over_lakehouse("SELECT match_id, team_id, win FROM team_rows"))
+def lateral_explode(spark, sf):
+    """A lateral view of the teams of parsed documents; a document without teams gives no row."""
+    Layers(spark, sf).parsed("matches").createOrReplaceTempView("matchloom_parsed_matches")
+    return spark.sql(
+        """SELECT match_id, t.teamId AS team_id, t.win FROM matchloom_parsed_matches
+           LATERAL VIEW explode(info.teams) AS t"""
+    )
+
+
 @query("fn_get_json_object", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def get_json_object(spark, sf):
     return Layers(spark, sf).table("events").select(
@@ -93,13 +99,23 @@ def map_explode(spark, sf):
 
 
 @query("fn_array_filter", over_lakehouse("SELECT match_id, winning_team_id FROM match_rows"))
-@query("fn_array_index", over_lakehouse("SELECT match_id, winning_team_id FROM match_rows"))
 def array_filter(spark, sf):
     """The first winning team; NULL where nobody won."""
     winner = d.first_where("info.teams", lambda t: t["win"])["teamId"]
     return Layers(spark, sf).parsed("matches").select("match_id", winner.alias("winning_team_id"))
 
 
+@query(
+    "fn_array_index",
+    over_lakehouse("SELECT match_id, team_id, bans[1] AS first_ban, bans[4] AS fourth_ban FROM silver_match_teams"),
+)
+def array_index(spark, sf):
+    """Elements by place; NULL beyond the end and for a NULL array."""
+    return Layers(spark, sf).silver("match_teams").select(
+        "match_id", "team_id", F.get("bans", 0).alias("first_ban"), F.get("bans", 3).alias("fourth_ban")
+    )
+
+
 @query(
     "fn_array_transform",
     over_lakehouse("SELECT match_id, team_id, array_to_string(bans, ',') AS bans FROM team_rows"),
@@ -149,13 +165,6 @@ def date_literal(spark, sf):
                   AS kda
        FROM lineitem""",
 )
-@query(
-    "fn_greatest",
-    """SELECT l_orderkey, l_linenumber, l_partkey,
-              (l_quantity + l_partkey) / greatest(CASE WHEN l_linenumber > 1 THEN l_linenumber - 2 END, 1)
-                  AS kda
-       FROM lineitem""",
-)
 def kda(spark, sf):
     """Deaths of zero and unknown deaths both divide by one."""
     deaths = F.when(F.col("l_linenumber") > 1, F.col("l_linenumber") - 2)
@@ -164,6 +173,18 @@ def kda(spark, sf):
     )
 
 
+@query(
+    "fn_greatest",
+    """SELECT event_id, greatest(CASE WHEN event_type <> 'click' THEN user_id END, event_id % 100, 40) AS largest FROM events""",
+)
+def greatest(spark, sf):
+    """NULL is passed over, not passed on."""
+    return Layers(spark, sf).table("events").select(
+        "event_id",
+        F.greatest(F.when(F.col("event_type") != "click", F.col("user_id")), F.col("event_id") % 100, F.lit(40)).alias("largest"),
+    )
+
+
 @query(
     "fn_total_cs",
     over_lakehouse(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from matchloom.operators import aggregates as a
 from matchloom.operators import joins as j
-from matchloom.operators.keys import duplicate_keys, latest_by_key, running_index
+from matchloom.operators.keys import duplicate_keys, latest_by_key, running_index, top_n_by_key
 from matchloom.operators.quality import not_in, outside
 from matchloom.plans import gold as g
 from matchloom.plans import silver as s
@@ -49,17 +49,16 @@ def literal(spark, sf):
     )
 
 
-@query(
-    "proj_star",
-    "SELECT * EXCLUDE (o_orderstatus), o_totalprice >= 50000 AS counts FROM orders",
-)
-@query(
-    "proj_drop",
-    "SELECT * EXCLUDE (o_orderstatus), o_totalprice >= 50000 AS counts FROM orders",
-)
-def star_and_drop(spark, sf):
+@query("proj_star", "SELECT *, o_totalprice >= 50000 AS counts FROM orders")
+def star(spark, sf):
     orders = Layers(spark, sf).table("orders")
-    return orders.select("*", (F.col("o_totalprice") >= 50000).alias("counts")).drop("o_orderstatus")
+    return orders.select("*", (F.col("o_totalprice") >= 50000).alias("counts"))
+
+
+@query("proj_drop", "SELECT * EXCLUDE (ts, props) FROM events")
+def drop(spark, sf):
+    """A column that is absent is dropped without an error."""
+    return Layers(spark, sf).table("events").drop("ts", "props", "absent")
 
 
 @query("fetch_scalar", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
@@ -297,11 +296,15 @@ def min_max(spark, sf):
 
 
 @query("agg_distinct", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
-@query("set_distinct", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def distinct(spark, sf):
     return Layers(spark, sf).table("lineitem").select("l_orderkey", "l_linenumber").distinct()
 
 
+@query("set_distinct", "SELECT DISTINCT user_id, event_type FROM events")
+def distinct_set(spark, sf):
+    return Layers(spark, sf).table("events").dropDuplicates(["user_id", "event_type"]).select("user_id", "event_type")
+
+
 @query(
     "agg_count_distinct_key",
     """SELECT count(*) AS total_rows, (SELECT count(*) FROM (
@@ -384,11 +387,21 @@ def latest_team(spark, sf):
 
 
 @query("win_latest_player", LATEST_LINE.format(key="l_linenumber"))
-@query("top1_per_key", LATEST_LINE.format(key="l_linenumber"))
 def latest_player(spark, sf):
     return _latest_line(spark, sf, "l_linenumber")
 
 
+@query(
+    "top1_per_key",
+    """SELECT user_id, event_type, event_id, value FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY value ASC, event_id DESC) = 1""",
+)
+def first_event(spark, sf):
+    """The first row of each key in an order of its own, not the latest."""
+    events = Layers(spark, sf).table("events").select("user_id", "event_type", "event_id", "value")
+    return top_n_by_key(events, ["user_id", "event_type"], [F.asc("value"), F.desc("event_id")], 1)
+
+
 @query(
     "win_latest_draft",
     over_lakehouse(

@@ -9,9 +9,9 @@ from matchloom.operators import upsert as u
 from matchloom.plans import silver as s
 from matchloom.plans.ingest import record_outcomes, to_fetch
 from matchloom.schemas import SILVER, TableContract
-from matchloom.session import shared_dir, stage
+from matchloom.session import path_exists, shared_dir, stage
 from matchloom.sources import landing as l
-from matchloom.sources.tables import create_table, read_table, write_upsert
+from matchloom.sources.tables import create_namespace, create_table, read_table, write_upsert
 from matchloom.workloads.inputs import Layers
 from matchloom.workloads.lakehouse_sql import over_lakehouse
 from matchloom.workloads.registry import query
@@ -160,16 +160,18 @@ def limit_probe(spark, sf):
 
 @query(
     "doc_metadata",
-    """SELECT event_id, '2026-03-26' AS execution_date, 'events_api' AS source, TRUE AS is_stamped
+    """SELECT event_id, '2026-03-26' AS execution_date, 'events_api' AS source, TRUE AS is_stamped, 0 AS days_old
        FROM events""",
 )
 def doc_metadata(spark, sf):
+    """The stamp is a full time with zone, of today."""
     events = Layers(spark, sf).table("events").select("event_id")
     stamped = l.with_lineage(events, "2026-03-26", "events_api")
     meta = "_extraction_metadata"
     return stamped.select(
         "event_id", f"{meta}.execution_date", f"{meta}.source",
-        F.col(f"{meta}.extracted_at").isNotNull().alias("is_stamped"),
+        F.col(f"{meta}.extracted_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}(Z|[+-]\d\d:\d\d)$").alias("is_stamped"),
+        F.datediff(F.current_date(), F.to_date(f"{meta}.extracted_at")).alias("days_old"),
     )
 
 
@@ -196,8 +198,6 @@ CATALOG_SQL = over_lakehouse(
 
 
 @query("sink_create_table", CATALOG_SQL)
-@query("sink_create_ns", CATALOG_SQL)
-@query("src_table", CATALOG_SQL)
 def catalog_table(spark, sf):
     """A catalog table created twice, filled once and read by name."""
     location = shared_dir(spark, "database")
@@ -211,6 +211,27 @@ def catalog_table(spark, sf):
     return stored.select("match_id", "team_id", "win", "baron_kills", "bans", "extraction_date")
 
 
+@query("sink_create_ns", "SELECT n_nationkey, n_name, TRUE AS is_listed FROM nation")
+def namespace(spark, sf):
+    """A namespace created twice holds the table that is stored in it, at the place it was given."""
+    location = shared_dir(spark, "database")
+    database = f"matchloom_{location.rsplit('-', 1)[1]}"
+    for _ in range(2):
+        create_namespace(spark, database, location)
+    Layers(spark, sf).table("nation").select("n_nationkey", "n_name").write.saveAsTable(f"{database}.nation")
+    listed = spark.catalog.databaseExists(database) and path_exists(spark, f"{location}/nation")
+    return spark.read.table(f"{database}.nation").withColumn("is_listed", F.lit(listed))
+
+
+@query("src_table", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 = 1")
+def table_by_name(spark, sf):
+    """A table read by its name, which the session's current namespace completes."""
+    name = f"matchloom_customer_{shared_dir(spark, 'x').rsplit('-', 1)[1]}"
+    customers = Layers(spark, sf).table("customer").select("c_custkey", "c_name")
+    customers.write.option("path", shared_dir(spark, "table")).saveAsTable(name)
+    return spark.table(name).filter("c_custkey % 3 = 1")
+
+
 # Target and source are two overlapping parts of orders: by status F, P and O, P.
 TARGET_SQL = "t AS (SELECT * FROM orders WHERE o_orderstatus <> 'O')"
 SOURCE_SQL = (
@@ -231,12 +252,28 @@ def _sides(spark, sf):
 
 
 @query("merge_upsert_star", UPSERTED_SQL)
-@query("join_merge", UPSERTED_SQL)
 def upsert_all(spark, sf):
     target, source = _sides(spark, sf)
     return u.upsert(target, source, ["o_orderkey"])
 
 
+@query(
+    "join_merge",
+    """WITH s AS (SELECT l_orderkey AS o_orderkey, CAST(max(l_partkey) AS BIGINT) AS number FROM lineitem
+                  WHERE l_linenumber > 3 GROUP BY l_orderkey)
+       SELECT coalesce(o.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(s.number, o.o_custkey) AS number
+       FROM (SELECT * FROM orders WHERE o_totalprice > 50000) o FULL JOIN s ON o.o_orderkey = s.o_orderkey""",
+)
+def merge_join(spark, sf):
+    """Target rows the source lacks stay, others take its value, and source rows the target lacks are added."""
+    layers = Layers(spark, sf)
+    source = layers.table("lineitem").filter("l_linenumber > 3").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_partkey").cast("bigint").alias("number")
+    )
+    target = layers.table("orders").filter("o_totalprice > 50000").select("o_orderkey", F.col("o_custkey").cast("bigint").alias("number"))
+    return u.upsert(target, source, ["o_orderkey"])
+
+
 @query("sink_upsert_stored", UPSERTED_SQL)
 def upsert_stored(spark, sf):
     """The same through a stored table; the second upsert is run twice."""

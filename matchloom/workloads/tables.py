@@ -209,11 +209,15 @@ def player_map(spark, sf):
 
 
 @query("agg_set_union", PLAYED_SQL + "SELECT DISTINCT match_id FROM latest")
-@query("sort_ids", PLAYED_SQL + "SELECT DISTINCT match_id FROM latest ORDER BY match_id")
 def unique_ids(spark, sf):
     return ingest.unique_match_ids(ingest.latest_matches(played(spark, sf)))
 
 
+@query("sort_ids", over_lakehouse("SELECT DISTINCT match_id FROM silver_timeline_frames ORDER BY match_id"))
+def sorted_ids(spark, sf):
+    return ingest.unique_match_ids(Layers(spark, sf).silver("timeline_frames"))
+
+
 @query(
     "rpt_champion_pool",
     over_lakehouse(
