@@ -109,9 +109,11 @@ class LibraryEncoder:
         known = self.known
         if len(known) > self.limit:
             forget(known, self.limit)
+        # Letters alone are one pre-token.
         find, lower = self.pattern.findall if self.pattern else None, self.lower
         split = [
-            (find(x.lower() if lower else x)) if find and (x.isascii() or max(x) < STABLE) else None for x in texts
+            (((x,) if x.isalpha() else find(x)) if find else None) if x.isascii() or max(x) < STABLE else None
+            for x in (map(str.lower, texts) if lower else texts)
         ]
         for word in set(chain.from_iterable(filter(None, split))).difference(known):
             if word.isascii() and word.isprintable():
@@ -175,7 +177,7 @@ class TextEncoder:
     def _plain_ids(self, texts: list[str]) -> list[bytes]:
         if self.ranks is None:
             if self.pieces.encode.lower:  # lowered as a whole, texts have fewer different pieces
-                texts = [x.lower() if x.isascii() or max(x) < STABLE else x for x in texts]
+                texts = [_plain_spaces(x.lower()) if x.isascii() or max(x) < STABLE else x for x in texts]
             return self.pieces.ids(texts)
         return [
             np.asarray(self.ranks.encode_to_numpy(x, disallowed_special=()), "<u4").tobytes() if x.isascii() or max(x) < STABLE
@@ -183,6 +185,15 @@ class TextEncoder:
         ]
 
 
+# White space to Python but not to every other library.
+ODD_SPACE = regex.compile("[\x1c-\x1f\x85\xa0]")
+
+
+def _plain_spaces(text: str) -> str:
+    """The text with single spaces for all white space, where that gives no ids: words beside a line break are then no pieces of their own."""
+    return text if ODD_SPACE.search(text) else " ".join(text.split())
+
+
 @lru_cache(maxsize=4)
 def text_encoder(path: str, keep_space: bool, plain: bool = False) -> TextEncoder:
     """One encoder per file and Python worker, so that its pieces are remembered from task to task."""
