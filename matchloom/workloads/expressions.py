@@ -36,7 +36,7 @@ def from_json_ddl(spark, sf):
 @query("tgf_lateral_explode", over_lakehouse("SELECT match_id, team_id, win FROM team_rows"))
 def lateral_explode(spark, sf):
     """A lateral view of the teams of parsed documents; a document without teams gives no row."""
-    Layers(spark, sf).parsed("matches").createOrReplaceTempView("matchloom_parsed_matches")
+    Layers(spark, sf).parsed_for("match_teams").createOrReplaceTempView("matchloom_parsed_matches")
     return spark.sql(
         """SELECT match_id, t.teamId AS team_id, t.win FROM matchloom_parsed_matches
            LATERAL VIEW explode(info.teams) AS t"""
@@ -52,7 +52,7 @@ def get_json_object(spark, sf):
 
 @query("tgf_explode", over_lakehouse("SELECT match_id, puuid, kills FROM player_rows"))
 def explode(spark, sf):
-    parsed = Layers(spark, sf).parsed("matches")
+    parsed = Layers(spark, sf).parsed_for("match_participants")
     return d.explode_children(parsed, "info.participants", "p", "match_id").select(
         "match_id", "p.puuid", "p.kills"
     )
@@ -67,7 +67,7 @@ POSITIONS = over_lakehouse(
 @query("tgf_posexplode", POSITIONS)
 def posexplode(spark, sf):
     """Bans with their place; NULL and empty lists give no rows."""
-    teams = d.explode_children(Layers(spark, sf).parsed("matches"), "info.teams", "t", "match_id")
+    teams = d.explode_children(Layers(spark, sf).parsed_for("match_teams"), "info.teams", "t", "match_id")
     bans = teams.select(
         "match_id", F.col("t.teamId").alias("team_id"),
         F.transform("t.bans", lambda b: b["championId"].cast("string")).alias("bans"),
@@ -93,7 +93,7 @@ def lateral_posexplode(spark, sf):
     over_lakehouse("SELECT match_id, CAST(participant_id AS VARCHAR) AS participant, xp FROM frame_rows"),
 )
 def map_explode(spark, sf):
-    frames = d.explode_children(Layers(spark, sf).parsed("timelines"), "info.frames", "frame", "match_id")
+    frames = d.explode_children(Layers(spark, sf).parsed_for("timeline_frames"), "info.frames", "frame", "match_id")
     entries = d.explode_map(frames, "frame.participantFrames", "participant", "f", "match_id")
     return entries.select("match_id", "participant", "f.xp")
 
@@ -102,7 +102,7 @@ def map_explode(spark, sf):
 def array_filter(spark, sf):
     """The first winning team; NULL where nobody won."""
     winner = d.first_where("info.teams", lambda t: t["win"])["teamId"]
-    return Layers(spark, sf).parsed("matches").select("match_id", winner.alias("winning_team_id"))
+    return Layers(spark, sf).parsed_for("matches").select("match_id", winner.alias("winning_team_id"))
 
 
 @query(
@@ -121,7 +121,7 @@ def array_index(spark, sf):
     over_lakehouse("SELECT match_id, team_id, array_to_string(bans, ',') AS bans FROM team_rows"),
 )
 def array_transform(spark, sf):
-    teams = d.explode_children(Layers(spark, sf).parsed("matches"), "info.teams", "t", "match_id")
+    teams = d.explode_children(Layers(spark, sf).parsed_for("match_teams"), "info.teams", "t", "match_id")
     return teams.select(
         "match_id", F.col("t.teamId").alias("team_id"),
         F.transform("t.bans", lambda b: b["championId"].cast("string")).alias("bans"),
@@ -130,7 +130,7 @@ def array_transform(spark, sf):
 
 @query("fn_epoch_ms", over_lakehouse("SELECT match_id, game_creation, game_end_timestamp FROM match_rows"))
 def epoch_ms(spark, sf):
-    return Layers(spark, sf).parsed("matches").select(
+    return Layers(spark, sf).parsed_for("matches").select(
         "match_id", d.from_epoch_ms("info.gameCreation").alias("game_creation"),
         d.from_epoch_ms("info.gameEndTimestamp").alias("game_end_timestamp"),
     )
@@ -229,7 +229,7 @@ def ratio_guarded(spark, sf):
 def rounded(spark, sf):
     """Presentation rounding, of values with a finite binary fraction."""
     exact = F.col("gold_earned").cast("double") * 100 / F.lit(1024)
-    return Layers(spark, sf).silver("match_participants").select(
+    return Layers(spark, sf).silver("match_participants", once=True).select(
         "match_id", "puuid", F.round(exact, 2).alias("rounded")
     )
 

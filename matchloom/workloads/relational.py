@@ -26,7 +26,7 @@ from matchloom.workloads.registry import query
     ),
 )
 def nested(spark, sf):
-    teams = Layers(spark, sf).parsed("matches").select(
+    teams = Layers(spark, sf).parsed_for("match_teams").select(
         "match_id", F.explode("info.teams").alias("t"), "extraction_date"
     )
     return teams.select(
@@ -44,7 +44,7 @@ def nested(spark, sf):
     ),
 )
 def literal(spark, sf):
-    return g.picks(Layers(spark, sf).silver("match_participants")).select(
+    return g.picks(Layers(spark, sf).silver("match_participants", once=True)).select(
         "match_id", "team_id", "champion_id", "type", "draft_order"
     )
 
@@ -82,7 +82,7 @@ def threshold(spark, sf):
     over_lakehouse("SELECT match_id, puuid, deaths FROM silver_match_participants WHERE deaths IS NOT NULL"),
 )
 def not_null(spark, sf):
-    people = Layers(spark, sf).silver("match_participants").select("match_id", "puuid", "deaths")
+    people = Layers(spark, sf).silver("match_participants", once=True).select("match_id", "puuid", "deaths")
     return people.filter(F.col("deaths").isNotNull())
 
 
@@ -116,7 +116,7 @@ def out_of_range(spark, sf):
 )
 def disjunction(spark, sf):
     bad = F.col("deaths").isNull() | (F.col("gold_earned") < 1) | (F.col("kills") < 1)
-    return Layers(spark, sf).silver("match_participants").filter(bad).select("match_id", "puuid")
+    return Layers(spark, sf).silver("match_participants", once=True).filter(bad).select("match_id", "puuid")
 
 
 # --- joins -------------------------------------------------------------------
@@ -214,11 +214,11 @@ COMPOSITE = """SELECT f.match_id, f.participant_id, f.timestamp_ms, p.puuid
 def _frames_people(spark, sf, how: str):
     layers = Layers(spark, sf)
     people = latest_by_key(
-        layers.silver("match_participants")
+        layers.silver("match_participants", once=True)
         .select("match_id", "participant_id", "puuid", "champion_name", "extraction_date"),
         ["match_id", "participant_id"],
     ).select("match_id", "participant_id", "puuid")
-    frames = layers.silver("timeline_frames").select("match_id", "participant_id", "timestamp_ms")
+    frames = layers.silver("timeline_frames", once=True).select("match_id", "participant_id", "timestamp_ms")
     return j.enrich(frames, people, ["match_id", "participant_id"], how)
 
 
@@ -451,7 +451,7 @@ def latest_frame(spark, sf):
     ),
 )
 def first_pid(spark, sf):
-    return s.participant_ids_first(Layers(spark, sf).parsed("matches"))
+    return s.participant_ids_first(Layers(spark, sf).parsed_for("match_participants"))
 
 
 @query(
